@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import wordbpe
-from .common import input_bytes, read_table, shared_dir, shuffle_parts, stored, text_chunks, text_col
+from .common import read_table, shared_dir, shuffle_parts, stored, text_chunks, text_col
 
 #: Ids between two checkpoints.
 STRIDE = 128
@@ -55,11 +55,8 @@ def id_counts(tokens: DataFrame) -> DataFrame:
 
     def run(batches):
         total = np.zeros(1 << 16, np.int64)
-        for b in batches:
-            for x in b.column(0):
-                total += np.bincount(np.frombuffer(x.as_buffer(), "<u2"), minlength=1 << 16) if len(x.as_buffer()) > 40_000 else 0
-            small = b"".join([x for x in b.column(0).to_pylist() if len(x) <= 40_000])
-            total += np.bincount(np.frombuffer(small, "<u2"), minlength=1 << 16)
+        for _, data, _ in text_chunks(batches, "ids"):
+            total += np.bincount(data.view("<u2"), minlength=1 << 16)
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], ["id", "n"])
 
@@ -156,7 +153,7 @@ def _coded(tokens: DataFrame, book: Codebook) -> DataFrame:
     """doc_id, n_tokens, bits, checkpoints (little-endian unsigned 64-bit bit offsets in the document)."""
 
     def run(batches):
-        for rows, data, off in text_chunks(batches, "ids", 2 << 20):
+        for rows, data, off in text_chunks(batches, "ids", 1 << 19):
             ids, starts = data.view("<u2"), off[:-1] // 2
             raw, offset, inside = book.encode(ids, starts)
             n = np.diff(off) // 2
