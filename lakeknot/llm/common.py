@@ -98,3 +98,42 @@ def mix64(x: np.ndarray) -> np.ndarray:
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return x ^ (x >> np.uint64(31))
+
+
+_P = np.uint64(0x9E3779B97F4A7C15 | 1)
+_INV = np.uint64(pow(int(_P), -1, 1 << 64))
+_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of an odd base and of its inverse mod 2^64."""
+    if len(_powers[0]) < n:
+        size = max(n, 1 << 20)
+        for k, base in enumerate((_P, _INV)):
+            steps = np.full(size, base, np.uint64)
+            steps[0] = 1
+            _powers[k] = np.cumprod(steps, dtype=np.uint64)
+    return _powers[0][:n], _powers[1][:n]
+
+
+def run_hashes(letters: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the runs letters[starts:ends], equal for equal runs wherever they stand."""
+    with np.errstate(over="ignore"):
+        p, inv = powers(len(letters) + 1)
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(letters * p[: len(letters)], dtype=np.uint64)])
+        return mix64((total[ends] - total[starts]) * inv[starts])
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of plans that are no longer referred to."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def split_rows(keys: np.ndarray, n: int) -> list[tuple[int, np.ndarray]]:
+    """(key, places) of each key that occurs, for keys below n; places in order."""
+    order = np.argsort(keys.astype(np.uint16) if n <= 1 << 16 else keys, kind="stable")
+    cuts = np.searchsorted(keys[order], np.arange(n + 1))
+    return [(k, order[cuts[k] : cuts[k + 1]]) for k in range(n) if cuts[k + 1] > cuts[k]]

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_mod4, mix64, read_table, text_chunks, text_col
+from .common import id_mod4, mix64, read_table, run_hashes, text_chunks, text_col
 
 BITS = 18
 BUCKETS = 1 << BITS
@@ -34,19 +34,6 @@ HELD_OUT = 2
 
 _LETTERS = mix64(np.arange(1 << 16, dtype=np.uint64))
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
-_INV = np.uint64(pow(int(_P), -1, 1 << 64))
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the odd base and of its inverse mod 2^64."""
-    if len(_powers[0]) < n:
-        size = max(n, 1 << 20)
-        for k, base in enumerate((_P, _INV)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps, dtype=np.uint64)
-    return _powers[0][:n], _powers[1][:n]
 
 
 def features(data: np.ndarray, off: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -83,9 +70,7 @@ def features(data: np.ndarray, off: np.ndarray) -> list[tuple[np.ndarray, np.nda
         stop = ~space
         stop[:-1] &= space[1:] | edge[1:-1]
         e = np.flatnonzero(stop) + 1
-        p, inv = _power(n + 1)
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * p[:n], dtype=np.uint64)])
-        word = mix64((total[e] - total[s]) * inv[s])
+        word = run_hashes(x, s, e)
         first = np.searchsorted(s, cut)
         out.append(((word >> shift).astype(np.int64), first))
         doc = np.repeat(np.arange(len(cut) - 1), np.diff(first))
