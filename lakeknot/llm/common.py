@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Bytes of text that a worker turns into arrays at once; one longer text forms a chunk of its own.
 CHUNK_BYTES = 4 << 20
@@ -57,6 +58,10 @@ def text_col(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit("")).alias("text")
 
 
+#: The fold that nothing is learned from.
+HELD_OUT = 2
+
+
 def id_mod4(col: str = "doc_id") -> Column:
     """crc32 of the id as text, mod 4: the fold; 2 is held out."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % 4
@@ -137,3 +142,21 @@ def split_rows(keys: np.ndarray, n: int) -> list[tuple[int, np.ndarray]]:
     order = np.argsort(keys.astype(np.uint16) if n <= 1 << 16 else keys, kind="stable")
     cuts = np.searchsorted(keys[order], np.arange(n + 1))
     return [(k, order[cuts[k] : cuts[k + 1]]) for k in range(n) if cuts[k + 1] > cuts[k]]
+
+
+def with_scores(docs: DataFrame, keep: list[str], prefix: str, run, added: str) -> DataFrame:
+    """doc_id, the columns of keep, held_out and the added columns (named with the prefix) that run makes of whole texts.
+
+    run(rows, bytes, offsets) gives the added arrays of a chunk."""
+    keep = ["doc_id", *[c for c in keep if c != "doc_id"]]
+    held = F.coalesce(id_mod4() == HELD_OUT, F.lit(False))
+    inner = docs.select(*[F.col(f"`{c}`") for c in keep], held.alias(f"{prefix}held_out"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__scored"))
+    kept = inner.drop("__scored").schema
+    new = [f"{prefix}{x.split()[0]}" for x in added.split(", ")]
+    schema = StructType([*kept.fields, *[StructField(n, t.dataType) for n, t in zip(new, StructType.fromDDL(added).fields, strict=True)]])
+
+    def chunks(batches):
+        for rows, data, off in text_chunks(batches, "__scored", 1 << 19):
+            yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in kept.names], *run(rows, data, off)], [*kept.names, *new])
+
+    return inner.mapInArrow(chunks, schema)

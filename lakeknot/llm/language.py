@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import id_mod4, read_table, text_chunks, text_col
+from .common import HELD_OUT, id_mod4, read_table, text_chunks, text_col, with_scores
 
 WINDOW = 192
 DIM = 8
@@ -27,7 +27,6 @@ WIDTHS, FILTERS = (2, 3, 4), 8
 #: Labelled rows of each language that training sees at most, and windows of each.
 SAMPLE, TRAIN_WINDOWS = 800, 3
 EPOCHS, BATCH, RATE, SEED = 5, 32, 0.15, 11
-HELD_OUT = 2
 UND = "und"
 #: Windows that go through the network at once.
 AT_ONCE = 512
@@ -143,33 +142,28 @@ def fit(docs: DataFrame) -> Network | None:
     return train(np.concatenate(win), np.repeat([of[x] for x in got["label"]], [len(w) for w in win]), names)
 
 
-def predict(docs: DataFrame, net: Network | None, keep: list[str] = ()) -> DataFrame:
-    """doc_id, the columns of keep, held_out, lang_pred, score."""
-    keep = [c for c in keep if c != "doc_id"]
-    inner = docs.select("doc_id", *[c for c in keep if c != "text"], text_col(), F.coalesce(id_mod4() == HELD_OUT, F.lit(False)).alias("held_out"), *([F.col("text").isNull().alias("__null")] if "text" in keep else []))
-    schema = ", ".join(f"`{c}` {t}" for c, t in inner.dtypes) + ", lang_pred string, score double"
-
-    def run(batches):
-        for rows, data, off in text_chunks(batches, most=1 << 19):
-            n = rows.num_rows
-            letters = np.concatenate([[0], np.cumsum(_LETTER[data])])[off]
-            has = np.diff(letters) > 0
-            for k in np.flatnonzero(~has & (np.diff(off) > 0)):
-                has[k] = any(map(str.isalpha, data[off[k] : off[k + 1]].tobytes().decode("utf-8", "replace")))
-            pred, best = [UND] * n, np.zeros(n)
-            if net is not None and has.any():
-                win, doc, used = windows(data, off)
-                p = net.probabilities(win) * used[:, None]
-                mean = np.stack([np.bincount(doc, p[:, k], n) for k in range(p.shape[1])], 1) / np.maximum(np.diff(off), 1)[:, None]
-                top = mean.argmax(1)
-                pred = [net.names[t] if h else UND for t, h in zip(top.tolist(), has.tolist(), strict=True)]
-                best = np.where(has, np.clip(mean[np.arange(n), top], 0, 1), 0.0)
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(pred, pa.string()), pa.array(best, pa.float64())], [*rows.schema.names, "lang_pred", "score"])
-
-    out = inner.mapInArrow(run, schema)
-    if "text" in keep:
-        return out.withColumn("text", F.when(~F.col("__null"), F.col("text"))).select("doc_id", *keep, "held_out", "lang_pred", "score")
-    return out.select("doc_id", *keep, "held_out", "lang_pred", "score")
+def predict(docs: DataFrame, net: Network | None, keep: list[str] = (), prefix: str = "") -> DataFrame:
+    """doc_id, the columns of keep, and with the prefix held_out, lang_pred, score.
+
+    keep may hold any columns; give a prefix where their names clash with the new ones."""
+
+    def run(rows, data, off):
+        n = rows.num_rows
+        letters = np.concatenate([[0], np.cumsum(_LETTER[data])])[off]
+        has = np.diff(letters) > 0
+        for k in np.flatnonzero(~has & (np.diff(off) > 0)):
+            has[k] = any(map(str.isalpha, data[off[k] : off[k + 1]].tobytes().decode("utf-8", "replace")))
+        pred, best = [UND] * n, np.zeros(n)
+        if net is not None and has.any():
+            win, doc, used = windows(data, off)
+            p = net.probabilities(win) * used[:, None]
+            mean = np.stack([np.bincount(doc, p[:, k], n) for k in range(p.shape[1])], 1) / np.maximum(np.diff(off), 1)[:, None]
+            top = mean.argmax(1)
+            pred = [net.names[t] if h else UND for t, h in zip(top.tolist(), has.tolist(), strict=True)]
+            best = np.where(has, np.clip(mean[np.arange(n), top], 0, 1), 0.0)
+        return [pa.array(pred, pa.string()), pa.array(best, pa.float64())]
+
+    return with_scores(docs, keep, prefix, run, "lang_pred string, score double")
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import buckets_for, input_bytes, mix64, read_table, release, run_hashes, split_rows, stored, text_chunks, text_col
 from .graph import components
 
-WORDS, PERCENT = 4, 85
+WORDS, PERCENT = 5, 80
 #: Documents of an index list that gives its pairs at once.
 LIST = 64
 #: A shingle in more documents than this has its count sent to the tasks; doubled until at most HOT_MOST shingles are.
@@ -324,4 +324,4 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return groups(read_table(spark, sf_dir, "documents"))
+    return groups(read_table(spark, sf_dir, "documents"), words=4, percent=85)

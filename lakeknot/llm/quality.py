@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_mod4, mix64, read_table, run_hashes, text_chunks, text_col
+from .common import HELD_OUT, id_mod4, mix64, read_table, run_hashes, text_chunks, text_col, with_scores
 
 BITS = 18
 BUCKETS = 1 << BITS
@@ -30,7 +30,6 @@ DIM, EPOCHS, RATE, SEED = 10, 6, 0.5, 7
 #: Character n-grams, and distances at which a repeated word counts.
 GRAMS, LAGS = (3, 4), (1, 2, 3, 4, 6, 8)
 THRESHOLD = 0.7
-HELD_OUT = 2
 
 _LETTERS = mix64(np.arange(1 << 16, dtype=np.uint64))
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -156,21 +155,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return train(rows, n.get(1, 0) / max(1, sum(n.values())))
 
 
-def score(docs: DataFrame, model: Model, keep: list[str] = ()) -> DataFrame:
-    """doc_id, the columns of keep, held_out, score, predicted."""
-    keep = [c for c in keep if c != "doc_id"]
-    inner = docs.select("doc_id", *[c for c in keep if c != "text"], text_col(), F.coalesce(id_mod4() == HELD_OUT, F.lit(False)).alias("held_out"), *([F.col("text").isNull().alias("__null")] if "text" in keep else []))
-    schema = ", ".join(f"`{c}` {t}" for c, t in inner.dtypes) + ", score double, predicted int"
+def score(docs: DataFrame, model: Model, keep: list[str] = (), prefix: str = "") -> DataFrame:
+    """doc_id, the columns of keep, and with the prefix held_out, score, predicted.
 
-    def run(batches):
-        for rows, data, off in text_chunks(batches, most=1 << 19):
-            p = model.scores(data, off)
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(p, pa.float64()), pa.array((p >= THRESHOLD).astype(np.int32), pa.int32())], [*rows.schema.names, "score", "predicted"])
-
-    out = inner.mapInArrow(run, schema)
-    if "text" in keep:
-        return out.withColumn("text", F.when(~F.col("__null"), F.col("text"))).select("doc_id", *keep, "held_out", "score", "predicted")
-    return out.select("doc_id", *keep, "held_out", "score", "predicted")
+    keep may hold any columns; give a prefix where their names clash with the new ones."""
+
+    def run(rows, data, off):
+        p = model.scores(data, off)
+        return [pa.array(p, pa.float64()), pa.array((p >= THRESHOLD).astype(np.int32), pa.int32())]
+
+    return with_scores(docs, keep, prefix, run, "score double, predicted int")
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
