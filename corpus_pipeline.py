@@ -22,7 +22,7 @@ from lakeknot.llm import language, ngramjoin, packing, quality, substrings, word
 from lakeknot.llm.common import read_table, stored
 
 #: Mean probability from which a language counts as identified; chance alone gives less.
-MIN_SCORE = 0.4
+MIN_SCORE = 0.35
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,8 +25,9 @@ WINDOW = 192
 DIM = 8
 WIDTHS, FILTERS = (2, 3, 4), 8
 #: Labelled rows of each language that training sees at most, and windows of each.
-SAMPLE, TRAIN_WINDOWS = 800, 3
-EPOCHS, BATCH, RATE, SEED = 5, 32, 0.15, 11
+SAMPLE, TRAIN_WINDOWS = 800, 5
+SALTS = 64
+EPOCHS, BATCH, RATE, SEED = 10, 32, 0.3, 11
 UND = "und"
 #: Windows that go through the network at once.
 AT_ONCE = 512
@@ -119,9 +120,11 @@ def train(win: np.ndarray, label: np.ndarray, names: list[str]) -> Network:
 
 def fit(docs: DataFrame) -> Network | None:
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (id_mod4() != HELD_OUT))
-    pick = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # at most SAMPLE ids a language are sent to the scan of the texts
-    chosen = known.withColumn("rank", F.row_number().over(pick)).where(F.col("rank") <= SAMPLE).select("doc_id", F.col("lang").alias("label"))
+    # a language is dealt over SALTS tasks first; at most SAMPLE ids of each are sent to the scan of the texts
+    order = (F.xxhash64("doc_id"), F.col("doc_id"))
+    for keys in (["lang", "salt"], ["lang"]):
+        known = known.withColumn("salt", F.pmod(F.hash("doc_id"), F.lit(SALTS))).withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= SAMPLE)
+    chosen = known.select("doc_id", F.col("lang").alias("label"))
 
     def run(batches):
         for rows, data, off in text_chunks(batches, most=1 << 19):

@@ -39,7 +39,7 @@ LIST = 64
 #: A shingle in more documents than this has its count sent to the tasks; doubled until at most HOT_MOST shingles are.
 HOT, HOT_MOST = 8, 1_000_000
 #: Rounds in which a long list's members are compared with one of them.
-ROUNDS = 5
+ROUNDS = 3
 #: Ids up to which the documents that have a candidate are picked out by a broadcast; more are joined by a shuffle.
 IDS_MOST = 2_000_000
 CHUNK = 1 << 20
