@@ -1,0 +1,156 @@
+"""Candidate retrieval: a weighted token join with a document-frequency cap and a top-k for each query.
+
+The index side is the clean source, the query side a noisy one; both never leave their country. A token's weight is
+ln(documents / documents with it); a score is the sum over shared tokens divided by the root of the index record's
+indexed tokens. Scores are ranked rounded to six digits and ties go to the smaller id, so results don't depend on the
+order of sums. Joins are equi-joins on (country, token): hot tokens are capped on the index side and what is left of
+the skew is split at run time; the top-k is a window with a literal bound, which Spark prunes before its shuffle.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, replace
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..functions import normalize as N
+
+
+@dataclass(frozen=True)
+class Reverse:
+    """Noisy records query the clean ones."""
+
+    maxdf: int = 60_000
+    rarest: int = 28
+    k: int = 3
+    k_short: int = 18
+    short_tokens: int = 2
+    length_norm: bool = True
+
+
+@dataclass(frozen=True)
+class Forward:
+    """Clean records query the noisy ones, by address, name and address prefixes."""
+
+    maxdf_addr: int = 5_000
+    maxdf_name: int = 20_000
+    maxdf_prefix: int = 5_000
+    rarest: int = 24
+    k_addr: int = 24
+    k_name: int = 12
+    k_prefix: int = 12
+    prefix_len: int = 4
+
+
+def typed_signature(records: DataFrame, rich: bool = False) -> DataFrame:
+    """records with sig: distinct tokens a:address, n:name, s:name skeleton; rich adds p:address prefix, b:address skeleton."""
+    tag = lambda words, kind: F.transform(words, lambda t: F.concat(F.lit(kind), t))
+
+    def bones(words: str, kind: str):
+        # skeletons of over two letters that differ from their word
+        pairs = F.transform(words, lambda t: F.struct(t.alias("t"), N.skeleton(t).alias("s")))
+        return F.transform(F.filter(pairs, lambda p: (F.length(p["s"]) > 2) & (p["s"] != p["t"])), lambda p: F.concat(F.lit(kind), p["s"]))
+
+    parts = [tag(F.col("addr_tok"), "a:"), tag(F.col("name_core"), "n:"), bones("name_core", "s:")]
+    if rich:
+        parts += [tag(F.transform(F.filter("addr_tok", lambda t: F.length(t) > 4), lambda t: F.substring(t, 1, 4)), "p:"), bones("addr_tok", "b:")]
+    return records.withColumn("sig", F.array_distinct(F.concat(*parts)))
+
+
+def postings(docs: DataFrame) -> DataFrame:
+    """docs (country, id, sig) to a row for each token."""
+    return docs.select("country", "id", F.explode("sig").alias("token"))
+
+
+def doc_freq(docs: DataFrame, maxdf: int | None = None) -> DataFrame:
+    """country, token, df, idf of the tokens in at most maxdf documents; all documents count, those without tokens too."""
+    n = docs.groupBy("country").agg(F.count("*").alias("n_doc"))
+    df = postings(docs).groupBy("country", "token").agg(F.count("*").alias("df"))
+    if maxdf is not None:
+        df = df.where(F.col("df") <= maxdf)
+    return df.join(n, "country").select("country", "token", "df", F.log(F.col("n_doc") / F.col("df")).alias("idf"))
+
+
+def indexed(docs: DataFrame, maxdf: int) -> DataFrame:
+    """country, token, id, df, idf: the postings of capped tokens."""
+    return postings(docs).join(doc_freq(docs, maxdf), ["country", "token"])
+
+
+def length_norm(index: DataFrame) -> DataFrame:
+    """id, norm: the root of a document's indexed tokens."""
+    return index.groupBy("country", "id").agg(F.sqrt(F.greatest(F.count("*"), F.lit(1)).cast("double")).alias("norm"))
+
+
+def rarest(queries: DataFrame, frequencies: DataFrame, r: int) -> DataFrame:
+    """query, token, idf: the r rarest indexed tokens of each query, ties to the smaller token."""
+    rank = Window.partitionBy("country", "query").orderBy("df", "token")
+    found = postings(queries).withColumnRenamed("id", "query").join(frequencies, ["country", "token"])
+    return found.withColumn("rn", F.row_number().over(rank)).where(F.col("rn") <= r).drop("rn")
+
+
+def token_join(queries: DataFrame, docs: DataFrame, maxdf: int, r: int, norm: bool = True) -> DataFrame:
+    """country, query, id, score of every pair that shares one of the query's r rarest tokens."""
+    index = indexed(docs, maxdf)
+    asked = rarest(queries, doc_freq(docs, maxdf), r).select("country", "query", "token")
+    score = asked.join(index, ["country", "token"]).groupBy("country", "query", "id").agg(F.sum("idf").alias("score"))
+    if norm:
+        score = score.join(length_norm(index), ["country", "id"]).withColumn("score", F.col("score") / F.col("norm"))
+    return score.select("country", "query", "id", F.round("score", 6).alias("score"))
+
+
+def top_k(scored: DataFrame, k: int, limit=None) -> DataFrame:
+    """The k best of each query (fewer where the column limit says so), with rank rn."""
+    best = Window.partitionBy("country", "query").orderBy(F.desc("score"), "id")
+    out = scored.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= k)
+    return out if limit is None else out.where(F.col("rn") <= limit)
+
+
+def _docs(records: DataFrame, sig) -> DataFrame:
+    return records.select("country", F.col("entity_id").alias("id"), sig.alias("sig"))
+
+
+def reverse(clean: DataFrame, noisy: DataFrame, params: Reverse = Reverse(), rich: bool = False) -> DataFrame:
+    """country, source, s1_id, cand_id, block_score, rn: the best clean records of each noisy one.
+
+    Records with at most short_tokens address tokens get k_short, all others k."""
+    docs = _docs(typed_signature(clean, rich), F.col("sig"))
+    signed = typed_signature(noisy, rich)
+    scored = token_join(_docs(signed, F.col("sig")), docs, params.maxdf, params.rarest, params.length_norm)
+    depth = noisy.select(F.col("entity_id").alias("query"), "country", "source", F.when(F.size("addr_tok") <= params.short_tokens, params.k_short).otherwise(params.k).alias("depth"))
+    best = top_k(scored, max(params.k, params.k_short)).join(depth, ["country", "query"]).where(F.col("rn") <= F.col("depth"))
+    return best.select("country", "source", F.col("id").alias("s1_id"), F.col("query").alias("cand_id"), F.col("score").alias("block_score"), "rn")
+
+
+def forward(clean: DataFrame, noisy: DataFrame, params: Forward = Forward()) -> DataFrame:
+    """country, source, s1_id, cand_id, block_score, pass_id: three passes in one, the best score of a pair, ties to the lower pass."""
+    with_addr = noisy.where(F.size("addr_tok") > 0)
+    prefix = N.prefixes(F.col("addr_tok"), params.prefix_len)
+    passes = [(1, with_addr, F.col("addr_tok"), params.maxdf_addr, params.k_addr), (2, noisy, F.col("name_core"), params.maxdf_name, params.k_name), (3, with_addr, prefix, params.maxdf_prefix, params.k_prefix)]
+    found = [top_k(token_join(_docs(clean, sig), _docs(side, sig), maxdf, params.rarest), k).withColumn("pass_id", F.lit(n)) for n, side, sig, maxdf, k in passes if k]
+    union = found[0]
+    for x in found[1:]:
+        union = union.unionByName(x)
+    pairs = union.select("country", F.col("query").alias("s1_id"), F.col("id").alias("cand_id"), F.col("score").alias("block_score"), "pass_id")
+    return dedup_best(pairs).join(noisy.select(F.col("entity_id").alias("cand_id"), "source"), "cand_id")
+
+
+def dedup_best(pairs: DataFrame) -> DataFrame:
+    """One row for each pair: the highest score, ties to the lowest pass."""
+    best = F.max(F.struct("block_score", (-F.col("pass_id")).alias("p")))
+    return pairs.groupBy("country", "s1_id", "cand_id").agg(best.alias("b")).select("country", "s1_id", "cand_id", F.col("b.block_score"), (-F.col("b.p")).alias("pass_id"))
+
+
+def query_fraction(records: DataFrame, step: int) -> DataFrame:
+    """Every step-th record of a country, in order of ids."""
+    row = Window.partitionBy("country").orderBy("entity_id")
+    return records.withColumn("__row", F.row_number().over(row) - 1).where(F.col("__row") % step == 0).drop("__row")
+
+
+def keep_entities(pairs: DataFrame, kept: DataFrame) -> DataFrame:
+    """Pairs of the kept clean records (s1_id); to be applied after the top-k."""
+    return pairs.join(kept.select("s1_id"), "s1_id", "left_semi")
+
+
+def rich(params: Reverse, **change) -> Reverse:
+    return replace(params, **change)
