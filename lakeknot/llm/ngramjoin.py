@@ -7,13 +7,14 @@ the prefix of every set that it links with. Work is skipped by the relations bet
 * equal sets are one set: only the smallest document of each class is indexed;
 * index lists hold (size, place) and are read in blocks of one size range, ordered by place, so that whole blocks
   outside the size range, or beyond the place from which the need can still be met, are skipped;
-* lists of at most LIST documents give their pairs. Longer ones (their shingles and counts are known
-  beforehand) never do: in each round one document of a list is compared with those not yet in its group, and
-  what is linked takes over the answer of its group. Only documents that stay apart from a list's largest
-  group are at last compared with the others in it; nothing is left out.
+* lists of at most LIST documents give their pairs, which are checked on the whole sets (64-bit shingle hashes);
+* longer ones (their shingles and counts are known beforehand) never do. Each has a centre, with which all its
+  documents are compared; what links with it takes over its group, and the answers of the others are derived from
+  the computed one: two documents share what the centre has, less what either has lost, plus what they have lost or
+  added in common. No pair is left out, and none is sent.
 
-Compared pairs are checked exactly on the whole sets (64-bit shingle hashes). Shuffled data: packed hashes once for
-the counts, prefixes, pairs, and the sets of documents that have a candidate.
+Shuffled data: packed hashes once for the counts, prefixes, pairs, the sets of documents that have a candidate, and
+differences from centres.
 
 Results for odd rows: null texts and texts without words have an empty set and link with nothing; rows with a null
 id are returned without a group; repeated rows link as equal sets; an empty table gives no rows; other columns
@@ -38,8 +39,6 @@ WORDS, PERCENT = 5, 80
 LIST = 64
 #: A shingle in more documents than this has its count sent to the tasks; doubled until at most HOT_MOST shingles are.
 HOT, HOT_MOST = 8, 1_000_000
-#: Rounds in which a long list's members are compared with one of them.
-ROUNDS = 3
 #: Ids up to which the documents that have a candidate are picked out by a broadcast; more are joined by a shuffle.
 IDS_MOST = 2_000_000
 CHUNK = 1 << 20
@@ -263,36 +262,97 @@ def _sets(base: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     return base.join(some, "doc_id", "left_semi").mapInArrow(run, "doc_id long, shingles binary")
 
 
-def _long_lists(members: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The stars of all links, with those that the long lists (shingle, doc, n) add."""
-    star = components(links)
-    near = (100 * F.least("n", "m") >= percent * F.greatest("n", "m")) & (F.col("group") != F.col("other"))
-    pair = [F.least("doc", "with").alias("a"), F.greatest("doc", "with").alias("b")]
-
-    def grouped() -> DataFrame:
-        return members.join(star.withColumnRenamed("node", "doc"), "doc", "left").select("shingle", "doc", "n", F.coalesce("component", "doc").alias("group"))
-
-    def add(pairs: DataFrame) -> bool:
-        nonlocal star
-        pairs = stored(pairs.distinct())
-        if pairs.isEmpty():
-            return False
-        found = _verified(pairs, sets, percent)
-        star = components(found.unionByName(star.select(F.col("node").alias("a"), F.col("component").alias("b"))))
-        return True
-
-    for k in range(ROUNDS):
-        now = grouped()
-        # one member of each list, another in each round
-        chosen = now.groupBy("shingle").agg(F.min(F.struct(F.xxhash64("doc", F.lit(k)).alias("x"), "doc", "n", "group")).alias("p")).select("shingle", F.col("p.doc").alias("with"), F.col("p.n").alias("m"), F.col("p.group").alias("other"))
-        if not add(now.join(chosen, "shingle").where(near).select(*pair)):
-            break
-    now = stored(grouped())
-    sizes = now.groupBy("shingle", "group").agg(F.count("*").alias("k")).groupBy("shingle").agg(F.max(F.struct("k", "group")).alias("p")).select("shingle", F.col("p.group").alias("largest"))
-    rest = now.join(sizes, "shingle").where(F.col("group") != F.col("largest")).select("shingle", F.col("doc").alias("with"), F.col("n").alias("m"), F.col("group").alias("other"), "largest")
-    both = now.join(rest, "shingle").where(near & ((F.col("group") == F.col("largest")) | (F.col("doc") < F.col("with"))))
-    add(both.select(*pair))
-    return star
+#: Documents of a star that one task compares with as many others.
+BLOCK = 4096
+#: Documents that share at least NEAR of a star's centre are told by their differences from it, others by their sets.
+NEAR = 0.5
+_EXTRA = np.uint64(1 << 63)
+
+
+def _differences(joined: DataFrame, percent: int) -> DataFrame:
+    """center, doc, near, size (of the centre), lost, added, tokens: how a document differs from its centre, or its set.
+
+    A document below NEAR can only link with those that lie at most the link's distance above it, so these are told
+    both ways and no pair is lost."""
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for center, doc, x, o in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
+                x, o = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(o.as_buffer(), "<u8")
+                at = np.searchsorted(o, x)
+                has = o[np.minimum(at, len(o) - 1)] == x
+                shared = int(has.sum())
+                alike = shared / (len(x) + len(o) - shared)
+                if alike >= NEAR:
+                    kept = np.zeros(len(o), bool)
+                    kept[at[has]] = True
+                    out.append((center, doc, True, len(o), len(o) - shared, len(x) - shared, _pack(np.flatnonzero(~kept).astype("<u8"), x[~has] | _EXTRA)))
+                if alike <= NEAR + 1 - percent / 100:
+                    out.append((center, doc, False, len(o), 0, len(x), x.tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["center", "doc", "near", "size", "lost", "added", "tokens"])
+
+    return joined.mapInArrow(run, "center long, doc long, near boolean, size long, lost long, added long, tokens binary")
+
+
+def star_links(rows: pd.DataFrame, percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Links that connect what is connected in a star: rows with asks are compared with those that answer.
+
+    The shingles that two documents share follow from the centre's size, what each has lost and added, and what of this
+    they have in common; a document that links with the centre needs no further answer."""
+    answer, ask = rows[rows["answers"]], rows[~rows["answers"]]
+    near = bool(rows["near"].iloc[0])
+    docs, lost, added = (answer[c].to_numpy(np.int64) for c in ("doc", "lost", "added"))
+    size = int(rows["size"].iloc[0]) if near else 0
+    tokens = [np.frombuffer(t, "<u8") for t in answer["tokens"]]
+    flat = np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)
+    order = np.argsort(flat, kind="stable")
+    keys, row = flat[order], np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])[order]
+    parent = {int(d): int(d) for d in [*docs.tolist(), *ask["doc"].tolist()]}
+
+    def root(d: int) -> int:
+        while parent[d] != d:
+            parent[d] = parent[parent[d]]
+            d = parent[d]
+        return d
+
+    total, out = size - lost + added, []
+    for doc, l, a, t in zip(ask["doc"].tolist(), ask["lost"].tolist(), ask["added"].tolist(), ask["tokens"], strict=True):
+        t = np.frombuffer(t, "<u8")
+        lo, hi = np.searchsorted(keys, t, "left"), np.searchsorted(keys, t, "right")
+        common = np.bincount(np.concatenate([row[x:z] for x, z in zip(lo.tolist(), hi.tolist(), strict=True)]) if len(t) else np.zeros(0, np.int64), minlength=len(docs))
+        shared = size - l - lost + common if near else common
+        hit = (100 * shared >= percent * (size - l + a + total - shared)) & (docs != doc)
+        for other in docs[hit].tolist():
+            p, q = root(doc), root(other)
+            if p != q:
+                parent[max(p, q)] = min(p, q)
+                out.append((min(doc, other), max(doc, other)))
+    return out
+
+
+def _long_lists(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: links between documents that share a long list (shingle, doc, n).
+
+    A list's centre is the document in the most long lists: copies spend their prefixes on what only they have, what
+    they were made from does not. All documents of the lists of a centre form a star and are told by their
+    differences from it; those that do not link with it are compared with the others, in blocks, by these alone."""
+    often = members.groupBy("doc").agg(F.count("*").alias("k"))
+    best = members.join(often, "doc").groupBy("shingle").agg(F.max(F.struct("k", (-F.col("doc")).alias("d"))).alias("p")).select("shingle", (-F.col("p.d")).alias("center"))
+    stars = stored(members.join(best, "shingle").select("center", "doc").distinct())
+    joined = stars.join(sets.select(F.col("doc_id").alias("doc"), F.col("shingles").alias("x")), "doc").join(sets.select(F.col("doc_id").alias("center"), F.col("shingles").alias("o")), "center")
+    told = stored(_differences(joined.select("center", "doc", "x", "o"), percent), "none")
+    inside = F.col("size") - F.col("lost")
+    linked = F.col("near") & (100 * inside >= percent * (F.col("size") + F.col("added")))
+    direct = told.where(linked & (F.col("doc") != F.col("center"))).select(F.least("doc", "center").alias("a"), F.greatest("doc", "center").alias("b"))
+    blocks = told.groupBy("center", "near").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = told.withColumn("linked", linked).join(blocks, ["center", "near"]).withColumn("own", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    answers = dealt.withColumn("other", F.explode(every)).withColumns({"i": F.col("other"), "j": F.col("own"), "answers": F.lit(True)})
+    asks = dealt.where(~F.col("linked")).withColumn("other", F.explode(every)).withColumns({"i": F.col("own"), "j": F.col("other"), "answers": F.lit(False)})
+    sent = answers.unionByName(asks).select("center", "near", "i", "j", "answers", "doc", "size", "lost", "added", "tokens")
+    found = sent.groupBy("center", "near", "i", "j").applyInPandas(lambda rows: pd.DataFrame(star_links(rows, percent), columns=["a", "b"], dtype="int64"), "a long, b long")
+    return direct.unionByName(found)
 
 
 def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -313,7 +373,7 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     ids = stored(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).unionByName(members.select(F.col("doc").alias("doc_id"))).distinct())
     sets = stored(_sets(known, ids, words), "none")
     links = stored(_verified(pairs, sets, percent))
-    star = components(links) if members.isEmpty() else _long_lists(members, links, sets, percent)
+    star = components(links.unionByName(_long_lists(members, sets, percent)))
     release(spark)
     small = prefixes.select("doc_id", "n", "digest")
     least = small.where(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("digest").agg(F.min("doc_id").alias("rep"))
