@@ -37,7 +37,16 @@ def stored(df: DataFrame, codec: str = "zstd") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that `stored` wrote, once all that needs them is stored itself."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.stored_at)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_parts(spark: SparkSession) -> int:

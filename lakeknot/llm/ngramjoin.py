@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import buckets_for, input_bytes, mix64, read_table, release, run_hashes, split_rows, stored, text_chunks, text_col
+from .common import buckets_for, discard, input_bytes, mix64, read_table, release, run_hashes, split_rows, stored, text_chunks, text_col
 from .graph import components
 
 WORDS, PERCENT = 5, 80
@@ -42,6 +42,8 @@ HOT, HOT_MOST = 8, 1_000_000
 #: Ids up to which the documents that have a candidate are picked out by a broadcast; more are joined by a shuffle.
 IDS_MOST = 2_000_000
 CHUNK = 1 << 20
+#: Bits that counts leave out; shingles that differ in them alone are counted together, which moves both in the order, no more.
+KEY = np.uint64(24)
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -108,18 +110,18 @@ def _unpack(blobs: list[bytes], *types: str) -> list[np.ndarray]:
 
 
 def _counts(base: DataFrame, buckets: int, words: int) -> DataFrame:
-    """shingle, n: blobs of the 48 upper hash bits and the documents of every shingle in over HOT documents."""
+    """shingle, n: blobs of the 40 upper hash bits and the documents of every shingle in over HOT documents."""
 
     def out(batches):
         for _, data, off in text_chunks(batches, most=2 * CHUNK):
-            h, n = np.unique(np.concatenate(shingle_sets(data, off, words)) >> np.uint64(16), return_counts=True)
+            h, n = np.unique(np.concatenate(shingle_sets(data, off, words)) >> KEY, return_counts=True)
             rows = split_rows((h % np.uint64(buckets)).astype(np.int64), buckets)
-            blobs = [_pack((h[at] >> np.uint64(16)).astype("<u4"), (h[at] & np.uint64(0xFFFF)).astype("<u2"), n[at].astype("<u4")) for _, at in rows]
+            blobs = [_pack((h[at] >> np.uint64(8)).astype("<u4"), (h[at] & np.uint64(0xFF)).astype("u1"), n[at].astype("<u4")) for _, at in rows]
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "blob"])
 
     def total(rows: pd.DataFrame) -> pd.DataFrame:
-        hi, lo, n = _unpack(list(rows["blob"]), "<u4", "<u2", "<u4")
-        h = hi.astype(np.uint64) << np.uint64(16) | lo
+        hi, lo, n = _unpack(list(rows["blob"]), "<u4", "u1", "<u4")
+        h = hi.astype(np.uint64) << np.uint64(8) | lo
         order = np.argsort(h)
         h, n = h[order], n[order]
         first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
@@ -131,7 +133,7 @@ def _counts(base: DataFrame, buckets: int, words: int) -> DataFrame:
 
 
 def hot_shingles(base: DataFrame, buckets: int, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(48 upper hash bits, documents) of the shingles in the most documents: at most HOT_MOST of them.
+    """(40 upper hash bits, documents) of the shingles in the most documents: at most HOT_MOST of them.
 
     Any order of the shingles gives the same links, so the limit changes the work alone."""
     found = stored(_counts(base, buckets, words))
@@ -160,7 +162,7 @@ def _prefixes(base: DataFrame, hot: np.ndarray, hot_n: np.ndarray, words: int, p
             n, digest, prefix = [], [], []
             sets = shingle_sets(data, off, words)
             flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-            key = flat >> np.uint64(16)
+            key = flat >> KEY
             at = np.minimum(np.searchsorted(hot, key), max(0, len(hot) - 1))
             count = np.where(hot[at] == key, hot_n[at], 0) if len(hot) else np.zeros(len(flat), np.int64)
             end = 0
@@ -189,7 +191,7 @@ def _postings(reps: DataFrame, hot: np.ndarray, hot_n: np.ndarray, buckets: int,
             doc = np.repeat(rows.column("doc_id").to_numpy(), np.diff(size))
             n = np.repeat(rows.column("n").to_numpy(), np.diff(size))
             place = np.arange(len(h)) - np.repeat(size[:-1], np.diff(size))
-            key = h >> np.uint64(16)
+            key = h >> KEY
             at = np.minimum(np.searchsorted(listed, key), max(0, len(listed) - 1))
             many = listed[at] == key if len(listed) else np.zeros(len(h), bool)
             if long:
@@ -331,8 +333,8 @@ def star_links(rows: pd.DataFrame, percent: int = PERCENT) -> list[tuple[int, in
     return out
 
 
-def _long_lists(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b: links between documents that share a long list (shingle, doc, n).
+def _told(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The documents of the long lists (shingle, doc, n) by their differences from a centre; stored.
 
     A list's centre is the document in the most long lists: copies spend their prefixes on what only they have, what
     they were made from does not. All documents of the lists of a centre form a star and are told by their
@@ -341,7 +343,11 @@ def _long_lists(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     best = members.join(often, "doc").groupBy("shingle").agg(F.max(F.struct("k", (-F.col("doc")).alias("d"))).alias("p")).select("shingle", (-F.col("p.d")).alias("center"))
     stars = stored(members.join(best, "shingle").select("center", "doc").distinct())
     joined = stars.join(sets.select(F.col("doc_id").alias("doc"), F.col("shingles").alias("x")), "doc").join(sets.select(F.col("doc_id").alias("center"), F.col("shingles").alias("o")), "center")
-    told = stored(_differences(joined.select("center", "doc", "x", "o"), percent), "none")
+    return stored(_differences(joined.select("center", "doc", "x", "o"), percent), "none")
+
+
+def _star_pairs(told: DataFrame, percent: int) -> DataFrame:
+    """a, b: links between documents that share a long list."""
     inside = F.col("size") - F.col("lost")
     linked = F.col("near") & (100 * inside >= percent * (F.col("size") + F.col("added")))
     direct = told.where(linked & (F.col("doc") != F.col("center"))).select(F.least("doc", "center").alias("a"), F.greatest("doc", "center").alias("b"))
@@ -364,18 +370,25 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     hot, hot_n = hot_shingles(known, buckets, words)
     release(spark)
     prefixes = stored(_prefixes(base, hot, hot_n, words, percent), "none")
+    small = stored(prefixes.select("doc_id", "n", "digest"))
     indexed = prefixes.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     reps = stored(indexed.groupBy("digest").agg(F.min(F.struct("doc_id", "n", "prefix")).alias("r")).select("r.*"), "none")
+    discard(prefixes)
     release(spark)
     pairs = stored(_postings(reps, hot, hot_n, buckets, False).groupBy("bucket").applyInPandas(_pairs(percent), "a long, b long").distinct())
     release(spark)
     members = stored(_postings(reps, hot, hot_n, buckets, True))
+    discard(reps)
     ids = stored(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).unionByName(members.select(F.col("doc").alias("doc_id"))).distinct())
     sets = stored(_sets(known, ids, words), "none")
     links = stored(_verified(pairs, sets, percent))
-    star = components(links.unionByName(_long_lists(members, sets, percent)))
     release(spark)
-    small = prefixes.select("doc_id", "n", "digest")
+    told = _told(members, sets, percent)
+    discard(sets)
+    release(spark)
+    star = components(links.unionByName(_star_pairs(told, percent)))
+    discard(told)
+    release(spark)
     least = small.where(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("digest").agg(F.min("doc_id").alias("rep"))
     of_class = least.join(star.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("group"))
     out = small.join(of_class, "digest", "left")
