@@ -20,7 +20,7 @@ def text(c: Column | str) -> Column:
 @cache
 def _single() -> tuple[str, str]:
     """Latin letters that fold to one ASCII letter, and these."""
-    some = {c: v for c, v in vocab.fold_table().items() if len(v) == 1 and ord(c) < 0x250}
+    some = {c: v for c, v in vocab.fold_table().items() if len(v) == 1 and ord(c) < 0x180}
     return "".join(some), "".join(some.values())
 
 
@@ -30,12 +30,33 @@ def _others() -> dict[str, str]:
     return {c: v for c, v in vocab.fold_table().items() if c not in single}
 
 
+#: Letters of over one ASCII letter that are common enough to be replaced before the others.
+PLAIN = "ßÆæŒœÞþ"
+
+
+def once(c: Column, f) -> Column:
+    """f of c, with c evaluated a single time."""
+    return F.transform(F.array(c), f)[0]
+
+
+def table(of: dict[str, str]) -> Column:
+    """A map as one literal, so that plans stay small; no key or value may hold a tab or a line break."""
+    return F.str_to_map(F.lit("\n".join(f"{k}\t{v}" for k, v in of.items())), F.lit("\n"), F.lit("\t"))
+
+
+def one_of(t: Column, words) -> Column:
+    return F.array_contains(F.split(F.lit(" ".join(words)), " "), t)
+
+
 def ascii_fold(c: Column) -> Column:
     """ASCII text: Latin letters lose their marks, Indic letters are romanised, what else is not ASCII goes."""
-    once = F.translate(c, *_single())
-    table = F.map_from_arrays(F.array(*map(F.lit, _others())), F.array(*map(F.lit, _others().values())))
-    letters = F.transform(F.split(once, ""), lambda x: F.when(x.rlike(r"^[\x00-\x7F]*$"), x).otherwise(F.coalesce(table[x], F.lit(""))))
-    return F.when(once.rlike(r"[^\x00-\x7F]"), F.array_join(letters, "")).otherwise(once)
+    plain = F.translate(c, *_single())
+    for x in PLAIN:
+        plain = F.replace(plain, F.lit(x), F.lit(_others()[x]))
+    # the rest, letter by letter, and only where there is any
+    letters = table({x: v for x, v in _others().items() if x not in PLAIN})
+    spelled = lambda x: F.array_join(F.transform(F.split(x, ""), lambda y: F.when(y <= "\x7f", y).otherwise(F.coalesce(letters[y], F.lit("")))), "")
+    return once(plain, lambda x: F.when(x.rlike(r"[^\x00-\x7F]"), spelled(x)).otherwise(x))
 
 
 def norm_text(c: Column) -> Column:
@@ -48,10 +69,6 @@ def tokens(c: Column) -> Column:
     return F.filter(F.split(c, " "), lambda t: t != "")
 
 
-def _one_of(t: Column, words) -> Column:
-    return t.isin(*words)
-
-
 def strip_lead(c: Column) -> Column:
     """Without leading marks and honorifics."""
     return F.regexp_replace(F.trim(c), "(?i)" + vocab.LEAD, "")
@@ -65,20 +82,15 @@ def name_flags(c: Column) -> Column:
 
 def name_core(norm: Column) -> Column:
     """The sorted distinct words but legal forms and single letters; all words if none is left."""
-    every = F.array_sort(F.array_distinct(tokens(norm)))
-    core = F.filter(every, lambda t: ~_one_of(t, vocab.LEGAL) & (F.length(t) > 1))
-    return F.when(F.size(core) > 0, core).otherwise(every)
-
-
-def _lookup(table: dict[str, str]) -> Column:
-    return F.map_from_arrays(F.array(*map(F.lit, table)), F.array(*map(F.lit, table.values())))
+    core = lambda every: F.filter(every, lambda t: ~one_of(t, vocab.LEGAL) & (F.length(t) > 1))
+    return once(F.array_sort(F.array_distinct(tokens(norm))), lambda every: once(core(every), lambda x: F.when(F.size(x) > 0, x).otherwise(every)))
 
 
 def addr_tokens(norm: Column) -> Column:
     """Distinct address words in order: those with a digit as they are; of the others no stop words, states as @code, street types in short form, none under two letters."""
-    states, streets = _lookup(vocab.STATE), _lookup(vocab.STREET)
+    states, streets = table(vocab.STATE), table(vocab.STREET)
     digit = lambda t: t.rlike("[0-9]")
-    kept = F.filter(tokens(norm), lambda t: digit(t) | ~_one_of(t, vocab.ADDR_STOP))
+    kept = F.filter(tokens(norm), lambda t: digit(t) | ~one_of(t, vocab.ADDR_STOP))
 
     def short(t: Column) -> Column:
         code = states[t]

@@ -156,7 +156,7 @@ def family_scores(pairs: DataFrame, conf: float = CONFIDENT) -> DataFrame:
         "fam_is_member": member,
         "fam_size": F.sum(member).over(own),
         "fam_score_max": F.max("score1").over(own),
-        "fam_score_mean": F.round(F.avg("score1").over(own), 6),
+        "fam_score_mean": F.avg("score1").over(own),
         "fam_score_gap": F.round(F.col("score1") - F.max("score1").over(own), 6),
         "own_rev_margin": F.col("rev_margin_2nd"),
     })

@@ -31,8 +31,21 @@ def query(sql: str | None = None, name: str | None = None):
     return add
 
 
+_tables: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame], *by: str) -> DataFrame:
+    """The tables that a project keeps between its steps, made once a session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _tables:
+        path = C.work_folder(spark, name)
+        C.write_partitioned(make(), path, *by)
+        _tables[key] = path
+    return spark.read.parquet(_tables[key])
+
+
 def norm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return N.normalized(X.registry(spark, sf_dir))
+    return stored(spark, sf_dir, "norm", lambda: N.normalized(X.registry(spark, sf_dir)), "source", "country")
 
 
 def sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -42,7 +55,7 @@ def sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def candidates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     clean, noisy = sides(spark, sf_dir)
-    return clean, noisy, retrieve.reverse(clean, noisy)
+    return clean, noisy, stored(spark, sf_dir, "candidates", lambda: retrieve.reverse(clean, noisy), "country", "source")
 
 
 def pairs(spark: SparkSession, sf_dir: str, fuzzy: bool = False) -> DataFrame:
@@ -224,7 +237,7 @@ def b19_token_hash(spark, sf_dir):
 @query(O.select(O.NORM, "SELECT entity_id, source, country, name_norm, array_to_string(name_core, ' ') AS name_core, name_flags, array_to_string(addr_tok, ' ') AS addr_tok, array_to_string(addr_nums, ' ') AS addr_nums, postal FROM norm"))
 def b21_prepare(spark, sf_dir):
     path = C.work_folder(spark, "norm")
-    C.write_partitioned(norm(spark, sf_dir), path, "source", "country")
+    C.write_partitioned(N.normalized(X.registry(spark, sf_dir)), path, "source", "country")
     return spark.read.parquet(path).select("entity_id", "source", "country", "name_norm", F.array_join("name_core", " ").alias("name_core"), "name_flags", joined("addr_tok").alias("addr_tok"), joined("addr_nums").alias("addr_nums"), "postal")
 
 
@@ -271,7 +284,7 @@ def c8_token_join_topk(spark, sf_dir):
 
 @query(O.select(O.REV, "SELECT country, source, s1_id, cand_id, block_score, rn FROM rev"))
 def c10_reverse_topk(spark, sf_dir):
-    return candidates(spark, sf_dir)[2].select("country", "source", "s1_id", "cand_id", "block_score", "rn")
+    return retrieve.reverse(*sides(spark, sf_dir)).select("country", "source", "s1_id", "cand_id", "block_score", "rn")
 
 
 FXDOC = f"""d AS (SELECT doc_id, lang, {O.norm_text('substr(text, 1, 300)')} AS t FROM documents),
@@ -408,11 +421,12 @@ def d8_rule_grid(spark, sf_dir):
 KEY = ["country", "source", "s1_id", "cand_id"]
 
 
+#: A little is added before rounding, so that halves don't depend on the order of a sum.
 def _features(name: str, columns: str, make=lambda spark, sf_dir: pairs(spark, sf_dir), ctes: str = O.PAIRS, table: str = "p", rounded: str = "") -> None:
     cols = columns.split()
-    pick = ", ".join(f"round({c}, 6) AS {c}" if c in rounded.split() else c for c in cols)
+    pick = ", ".join(f"round({c} + 1e-9, 6) AS {c}" if c in rounded.split() else c for c in cols)
     ORACLES[name] = O.select(ctes, f"SELECT {', '.join(KEY)}, {pick} FROM {table}")
-    QUERIES[name] = lambda spark, sf_dir: make(spark, sf_dir).select(*KEY, *[F.round(c, 6).alias(c) if c in rounded.split() else F.col(c) for c in cols])
+    QUERIES[name] = lambda spark, sf_dir: make(spark, sf_dir).select(*KEY, *[F.round(F.col(c) + 1e-9, 6).alias(c) if c in rounded.split() else F.col(c) for c in cols])
 
 
 _features("e2_name_overlap", "name_inter name_jac name_cont name_n1 name_n2", rounded="name_jac name_cont")
@@ -424,9 +438,9 @@ IDF_SHARE = f"""{O.PAIRS},
 wa AS (SELECT entity_id AS s1_id, 'n' AS field, unnest(name_core) AS token, country FROM norm WHERE source = 1 UNION ALL SELECT entity_id, 'a', unnest(addr_tok), country FROM norm WHERE source = 1),
 ws AS (SELECT s1_id, field, sum(idf) AS total FROM wa JOIN w USING (country, token, field) GROUP BY ALL),
 sh AS (SELECT s1_id, cand_id, field, sum(idf) AS shared FROM (SELECT country, s1_id, cand_id, 'n' AS field, unnest(list_intersect(a_core, b_core)) AS token FROM p UNION ALL SELECT country, s1_id, cand_id, 'a', unnest(list_intersect(a_addr, b_addr)) FROM p) JOIN w USING (country, token, field) GROUP BY ALL),
-pi AS (SELECT p.*, round(coalesce(n.shared, 0) / greatest(coalesce(nt.total, 0), 1e-6), 6) AS name_idf_share, round(coalesce(a.shared, 0) / greatest(coalesce(at.total, 0), 1e-6), 6) AS addr_idf_share
+pi AS (SELECT p.*, round(coalesce(n.shared, 0) / greatest(coalesce(nt.total, 0), 1e-6), 6) AS name_idf_share, round(coalesce(a.shared, 0) / greatest(coalesce(aw.total, 0), 1e-6), 6) AS addr_idf_share
   FROM p LEFT JOIN sh AS n ON n.s1_id = p.s1_id AND n.cand_id = p.cand_id AND n.field = 'n' LEFT JOIN ws AS nt ON nt.s1_id = p.s1_id AND nt.field = 'n'
-  LEFT JOIN sh AS a ON a.s1_id = p.s1_id AND a.cand_id = p.cand_id AND a.field = 'a' LEFT JOIN ws AS at ON at.s1_id = p.s1_id AND at.field = 'a')"""
+  LEFT JOIN sh AS a ON a.s1_id = p.s1_id AND a.cand_id = p.cand_id AND a.field = 'a' LEFT JOIN ws AS aw ON aw.s1_id = p.s1_id AND aw.field = 'a')"""
 _features("e12_idf_share", "name_idf_share addr_idf_share", ctes=IDF_SHARE, table="pi")
 _features("f1_rank_features", "n_cand rank_addr rank_name rank_total addr_gap_best name_gap_best total_gap_best")
 _features("f4_reverse_features", "rev_n rev_rank rev_gap_best rev_gap_addr rev_gap_name rev_margin_2nd")
@@ -465,7 +479,7 @@ f3 AS (SELECT f2.*, CAST(cw.token IS NOT NULL AS INT) AS novel_is_common, CASE W
   CASE WHEN ha >= 0 AND hb >= 0 AND da <> db AND (contains(da, db) OR contains(db, da)) THEN 1 ELSE 0 END AS house_trunc,
   round(CASE WHEN ha >= 0 THEN (sum(eq) OVER own - eq) / others ELSE 0.0 END, 6) AS house_fam_match_s1,
   CASE WHEN hb >= 0 AND same = max(same) OVER own THEN 1 ELSE 0 END AS house_fam_majority, round(CASE WHEN hb >= 0 THEN (same - 1) / others ELSE 0.0 END, 6) AS house_fam_share,
-  sum(fam_is_member) OVER own AS fam_size, max(score1) OVER own AS fam_score_max, round(avg(score1) OVER own, 6) AS fam_score_mean, round(score1 - max(score1) OVER own, 6) AS fam_score_gap, rev_margin_2nd AS own_rev_margin
+  sum(fam_is_member) OVER own AS fam_size, max(score1) OVER own AS fam_score_max, avg(score1) OVER own AS fam_score_mean, round(score1 - max(score1) OVER own, 6) AS fam_score_gap, rev_margin_2nd AS own_rev_margin
   FROM f2 LEFT JOIN (SELECT country, token FROM w WHERE field = 'n' AND df >= 5) AS cw ON cw.country = f2.country AND cw.token = nov WINDOW own AS (PARTITION BY f2.country, source, s1_id)),
 ft AS (SELECT country, source, s1_id, cand_id, fam_is_member, 'a' AS field, unnest(b_addr) AS token FROM f3 UNION ALL SELECT country, source, s1_id, cand_id, fam_is_member, 'n', unnest(b_core) FROM f3),
 fp AS (SELECT country, source, s1_id, field, token, count(*) AS cnt FROM ft WHERE fam_is_member = 1 GROUP BY ALL),
@@ -483,7 +497,7 @@ for _name, _cols in (
     ("g6_novel_tokens", "novel_s1_tok novel_cand_tok one_word_swap novel_is_common novel_fam_decoy"),
     ("g10_house_features", "house_norm_eq house_num_diff house_trunc house_fam_match_s1 house_fam_majority house_fam_share"),
 ):
-    _features(_name, _cols, family, FAMILY, "f")
+    _features(_name, _cols, family, FAMILY, "f", "fam_score_mean")
 
 
 @query()
@@ -681,7 +695,7 @@ def k9_recall_micro_macro(spark, sf_dir):
     return metrics.recall_micro_macro(found, owned(found, noisy)[1])
 
 
-@query(O.select(O.REV + ", a AS (SELECT cand_id, min(CASE WHEN s1_id = owner THEN rn END) AS at FROM rev GROUP BY cand_id)", f"SELECT k, round(avg(CASE WHEN at <= k THEN 1 ELSE 0 END), 6) AS recall FROM a, (SELECT unnest({list(metrics.KS)}) AS k) GROUP BY k"))
+@query(O.select(O.REV + ", a AS (SELECT cand_id, min(CASE WHEN s1_id = owner THEN rn END) AS place FROM rev GROUP BY cand_id)", f"SELECT k, round(avg(CASE WHEN place <= k THEN 1 ELSE 0 END), 6) AS recall FROM a, (SELECT unnest({list(metrics.KS)}) AS k) GROUP BY k"))
 def k10_recall_at_k(spark, sf_dir):
     _, noisy, found = candidates(spark, sf_dir)
     return metrics.recall_at_k(found, owned(found, noisy)[1])
