@@ -75,8 +75,12 @@ def test_packing(docs, none, word_ids):
             assert p["offset"] == at
             at += p["length"]
         assert at <= 512
-    # at most k pieces over 1 / (k + 1) of a sequence fit together
-    bound = max(-(-sum(map(len, word_ids.values())) // 512), *(-(-sum(r["length"] > 512 // (k + 1) for r in rows) // k) for k in range(1, 6)))
+    # beside a piece that leaves no room for m, no other of at least m; of these at most k elsewhere
+    bound = -(-sum(map(len, word_ids.values())) // 512)
+    for k in range(1, 6):
+        m = 512 // (k + 1) + 1
+        alone = sum(r["length"] > 512 - m for r in rows)
+        bound = max(bound, alone + -(-sum(m <= r["length"] <= 512 - m for r in rows) // k))
     assert len(by_seq) <= bound + 1
     assert packing.pack_documents(none, wordbpe.vocabulary()).count() == 0
 
