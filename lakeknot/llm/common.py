@@ -32,11 +32,16 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
+#: Tasks for each core of the cluster that write a table at most.
+TASKS_A_CORE = 4
+
+
 def stored(df: DataFrame, codec: str = "zstd") -> DataFrame:
     """df written once to a table in the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
+    # files for the cores there are: many tiny ones cost more than they hold
+    df.coalesce(TASKS_A_CORE * spark.sparkContext.defaultParallelism).write.option("compression", codec).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out

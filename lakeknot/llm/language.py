@@ -27,7 +27,7 @@ WIDTHS, FILTERS = (2, 3, 4), 8
 #: Labelled rows of each language that training sees at most, and windows of each.
 SAMPLE, TRAIN_WINDOWS = 800, 5
 SALTS = 64
-EPOCHS, BATCH, RATE, SEED = 10, 32, 0.3, 11
+EPOCHS, BATCH, RATE, SEED = 6, 32, 0.3, 11
 UND = "und"
 #: Windows that go through the network at once.
 AT_ONCE = 512

@@ -25,7 +25,7 @@ from .common import HELD_OUT, id_mod4, mix64, read_table, run_hashes, text_chunk
 BITS = 18
 BUCKETS = 1 << BITS
 #: Labelled rows of each class that training sees at most.
-SAMPLE = 2500
+SAMPLE = 1500
 DIM, EPOCHS, RATE, SEED = 10, 6, 0.5, 7
 #: Character n-grams, and distances at which a repeated word counts.
 GRAMS, LAGS = (3, 4), (1, 2, 3, 4, 6, 8)
