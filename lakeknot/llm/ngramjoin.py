@@ -379,12 +379,12 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     release(spark)
     members = stored(_postings(reps, hot, hot_n, buckets, True))
     discard(reps)
-    ids = stored(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).unionByName(members.select(F.col("doc").alias("doc_id"))).distinct())
-    sets = stored(_sets(known, ids, words), "none")
-    links = stored(_verified(pairs, sets, percent))
+    # the sets of documents with a candidate are made where they are compared; shuffled once, they serve both sides
+    ids = stored(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
+    links = stored(_verified(pairs, _sets(known, ids, words), percent))
     release(spark)
-    told = _told(members, sets, percent)
-    discard(sets)
+    ids = stored(members.select(F.col("doc").alias("doc_id")).distinct())
+    told = _told(members, _sets(known, ids, words), percent)
     release(spark)
     star = components(links.unionByName(_star_pairs(told, percent)))
     discard(told)
