@@ -200,9 +200,9 @@ def b7_addr_fields(spark, sf_dir):
     return norm(spark, sf_dir).select("entity_id", joined("addr_tok").alias("addr_tok"), joined("addr_nums").alias("addr_nums"), "postal", "first_num")
 
 
-@query(f"SELECT doc_id, array_to_string({O.addr_tokens(O.norm_text('text'))}, ' ') AS addr_tok FROM documents WHERE length(text) < 3000")
+@query(f"SELECT doc_id, array_to_string({O.addr_tokens(O.norm_text('text'))}, ' ') AS addr_tok FROM documents")
 def b7_addr_tok_documents(spark, sf_dir):
-    docs = X.table(spark, sf_dir, "documents").where(F.length("text") < 3000)
+    docs = X.table(spark, sf_dir, "documents")
     return docs.select("doc_id", joined(N.addr_tokens(N.norm_text(F.col("text")))).alias("addr_tok"))
 
 
