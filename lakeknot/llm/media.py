@@ -2,8 +2,10 @@
 
 ``to_wav`` stores each text's bytes, padded with blanks to a positive multiple of FRAME, as 8-bit mono samples.
 ``fingerprint`` reads the stored bytes back, takes short-time Fourier transforms (Hann windows of FRAME samples,
-hop HOP), keeps in each frame the strongest bin of every band as a peak, pairs each peak with those of the next
-FAN frames, and stores the pairs as arrays: time_ms of the first peak and code (band, both bins, distance).
+centred on samples 0, HOP, 2 HOP, ... with both ends mirrored; HOP is half a frame, so no sample lies at the edge of
+all its windows), keeps in each frame the strongest bin of every band as a peak, pairs each peak with another of its
+frame and those of the next FAN frames, and stores the pairs as arrays: time_ms of the first peak and code (band, both
+bins, distance).
 
 Null texts are empty and give one frame of blanks; repeated texts give equal values; an empty table gives no rows;
 other columns are not read.
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import read_table, text_chunks, text_col
 
-FRAME, HOP, RATE = 192, 192, 8000
+FRAME, HOP, RATE = 192, 96, 8000
 #: Frames that a peak is paired with.
 FAN = 2
 #: Bands of bins; each gives a peak a frame.
@@ -67,7 +69,7 @@ BLOCK = 4096
 
 def peak_bins(samples: np.ndarray) -> np.ndarray:
     """The strongest bin of each band, a row for each frame."""
-    frames = np.lib.stride_tricks.sliding_window_view(samples, FRAME)[::HOP]
+    frames = np.lib.stride_tricks.sliding_window_view(np.pad(samples, FRAME // 2, mode="reflect"), FRAME)[::HOP]
     out = np.empty((len(frames), len(BANDS)), np.uint32)
     for at in range(0, len(frames), BLOCK):
         spectrum = np.fft.rfft((frames[at : at + BLOCK].astype(np.float32) - np.float32(128)) * _HANN, axis=1)
@@ -81,7 +83,7 @@ def peak_pairs(bins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(time in ms, code) of all pairs, by time."""
     n, bands = bins.shape
     times, codes = [], []
-    for gap in range(1, FAN + 1):
+    for gap in range(FAN + 1):
         for k in range(bands):
             first, second = bins[: n - gap, k], bins[gap:, (k + 1) % bands]
             if len(first):
