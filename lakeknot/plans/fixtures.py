@@ -33,7 +33,7 @@ FROM copies
 SCORED = """
 SELECT s1_id, cand_id, CAST(2 + cand_id % 2 AS INT) AS source, CASE s1_id % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'C' END AS country,
   CAST((cand_id * 7919 + s1_id * 31) % 1000 AS DOUBLE) / 1000 AS score, CAST((cand_id + s1_id) % 4 = 0 AS INT) AS y
-FROM (SELECT DISTINCT o_custkey AS s1_id, l_partkey AS cand_id FROM {orders} JOIN {lineitem} ON l_orderkey = o_orderkey WHERE l_partkey % 5 = 0) AS p
+FROM (SELECT DISTINCT o_custkey AS s1_id, l_partkey AS cand_id FROM {orders} JOIN {lineitem} ON l_orderkey = o_orderkey) AS p
 """
 
 

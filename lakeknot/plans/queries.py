@@ -740,10 +740,19 @@ def l1_noise_labels(spark, sf_dir):
     return noise(spark, sf_dir)
 
 
-@query(O.select(f"{O.SCORED}, t AS (SELECT * FROM scored WHERE y = 1), s AS (SELECT * FROM scored WHERE cand_id % 7 <> 0), j AS (SELECT coalesce(t.country, s.country) AS country, coalesce(t.y, 0) AS y, s.score FROM t FULL JOIN s ON t.s1_id = s.s1_id AND t.cand_id = s.cand_id), jj AS (SELECT * FROM j UNION ALL SELECT 'ALL', y, score FROM j)", "SELECT country, count(*) FILTER (y = 1 AND score IS NULL) AS blocked, count(*) FILTER (y = 1 AND score >= 0.6) AS tp, count(*) FILTER (y = 1 AND score < 0.6) AS fn, count(*) FILTER (y = 0 AND score >= 0.6) AS fp FROM jj GROUP BY country"))
+#: Retrieved pairs with a score that both engines compute alike, and all true pairs, retrieved or not.
+RETRIEVED = f"{O.PAIRS}, s AS (SELECT country, source, s1_id, cand_id, {SCORE1} AS score FROM p), t AS (SELECT country, source, owner AS s1_id, entity_id AS cand_id, 1 AS y FROM norm WHERE source > 1)"
+
+
+def retrieved(spark, sf_dir):
+    _, noisy, found = candidates(spark, sf_dir)
+    return pairs(spark, sf_dir).withColumn("score", F.expr(SCORE1)).select(*KEY, "score"), owned(found, noisy)[1]
+
+
+@query(O.select(f"{RETRIEVED}, j AS (SELECT coalesce(t.country, s.country) AS country, coalesce(t.y, 0) AS y, s.score FROM t FULL JOIN s ON t.s1_id = s.s1_id AND t.cand_id = s.cand_id), jj AS (SELECT * FROM j UNION ALL SELECT 'ALL', y, score FROM j)", "SELECT country, count(*) FILTER (y = 1 AND score IS NULL) AS blocked, count(*) FILTER (y = 1 AND score >= 0.6) AS tp, count(*) FILTER (y = 1 AND score < 0.6) AS fn, count(*) FILTER (y = 0 AND score >= 0.6) AS fp FROM jj GROUP BY country"))
 def l2_loss_attribution(spark, sf_dir):
-    s = X.scored(spark, sf_dir)
-    return diagnose.loss_attribution(s.where(F.col("y") == 1), s.where(F.col("cand_id") % 7 != 0), 0.6)
+    s, truth = retrieved(spark, sf_dir)
+    return diagnose.loss_attribution(truth, s, 0.6)
 
 
 @query(O.select(NOISY, "SELECT coalesce(noise, 'All') AS noise, coalesce(country, 'All') AS country, count(*) AS n FROM noise GROUP BY CUBE (noise, country)"))
@@ -770,10 +779,10 @@ def l5_noise_of(spark, sf_dir):
     return X.registry(spark, sf_dir).select("entity_id", diagnose.noise_of(F.col("business_name"), F.col("business_address")).alias("noise"))
 
 
-@query(O.select(LISTS + ", s AS (SELECT * FROM scored WHERE cand_id % 7 <> 0)", "SELECT t.source, t.s1_id, t.cand_id, CASE WHEN s.score IS NULL THEN 'never_a_candidate' WHEN s.score < 0.8 THEN 'below_threshold' ELSE 'taken_by_another_s1' END AS reason FROM (SELECT * FROM scored WHERE y = 1) AS t LEFT JOIN s ON s.s1_id = t.s1_id AND s.cand_id = t.cand_id WHERE NOT EXISTS (SELECT 1 FROM excl AS x WHERE x.s1_id = t.s1_id AND x.cand_id = t.cand_id)"))
+@query(O.select(RETRIEVED + ", excl AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, cand_id ORDER BY score DESC, s1_id) AS rn FROM s WHERE score >= 0.8) WHERE rn = 1)", "SELECT t.source, t.s1_id, t.cand_id, CASE WHEN s.score IS NULL THEN 'never_a_candidate' WHEN s.score < 0.8 THEN 'below_threshold' ELSE 'taken_by_another_s1' END AS reason FROM t LEFT JOIN s ON s.s1_id = t.s1_id AND s.cand_id = t.cand_id WHERE NOT EXISTS (SELECT 1 FROM excl AS x WHERE x.s1_id = t.s1_id AND x.cand_id = t.cand_id)"))
 def l6_fn_reason(spark, sf_dir):
-    s = X.scored(spark, sf_dir)
-    return diagnose.fn_reason(s.where(F.col("y") == 1), s.where(F.col("cand_id") % 7 != 0), kept(spark, sf_dir), 0.8)
+    s, truth = retrieved(spark, sf_dir)
+    return diagnose.fn_reason(truth, s, decide.exclusive(decide.rule(s, decide.Rule(0.8))), 0.8)
 
 
 @query(O.select(LISTS + ", t AS (SELECT source, cand_id, min(s1_id) AS true_owner FROM scored WHERE y = 1 GROUP BY ALL)", "SELECT x.source, x.s1_id, x.cand_id, true_owner FROM excl AS x LEFT JOIN t USING (source, cand_id) WHERE true_owner IS NULL OR true_owner <> x.s1_id"))

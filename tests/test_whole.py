@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from lakeknot.llm import media
-from lakeknot.plans import queries
+from lakeknot.plans import fixtures, queries
 
 
 @pytest.fixture
@@ -36,3 +36,20 @@ def test_every_place_in_a_frame_reaches_a_peak():
         other = samples.copy()
         other[at::192] = 255
         assert media.peak_pairs(media.peak_bins(other))[1].tolist() != codes, at
+
+
+def test_scored_holds_all_pairs(spark, sf_dir):
+    orders, lines = (spark.read.parquet(f"{sf_dir}/{t}.parquet").toPandas() for t in ("orders", "lineitem"))
+    both = lines.merge(orders, left_on="l_orderkey", right_on="o_orderkey")
+    rows = fixtures.scored(spark, sf_dir).select("s1_id", "cand_id").collect()
+    assert sorted(map(tuple, rows)) == sorted(set(zip(both.o_custkey, both.l_partkey, strict=True)))
+
+
+def test_never_a_candidate_is_not_retrieved(spark, sf_dir):
+    _, noisy, found = queries.candidates(spark, sf_dir)
+    true = {(r["owner"], r["entity_id"]) for r in noisy.select("owner", "entity_id").collect()}
+    missed = true - {(r["s1_id"], r["cand_id"]) for r in found.collect()}
+    rows = queries.QUERIES["l6_fn_reason"](spark, sf_dir).where("reason = 'never_a_candidate'").collect()
+    assert {(r["s1_id"], r["cand_id"]) for r in rows} == missed
+    total = queries.QUERIES["l2_loss_attribution"](spark, sf_dir).where("country = 'ALL'").first()
+    assert (total["blocked"], total["blocked"] + total["tp"] + total["fn"]) == (len(missed), len(true))
