@@ -287,15 +287,16 @@ def c10_reverse_topk(spark, sf_dir):
     return retrieve.reverse(*sides(spark, sf_dir)).select("country", "source", "s1_id", "cand_id", "block_score", "rn")
 
 
-FXDOC = f"""d AS (SELECT doc_id, lang, {O.norm_text('substr(text, 1, 300)')} AS t FROM documents),
+FXDOC = f"""d AS (SELECT doc_id, lang, {O.norm_text('text')} AS t FROM documents),
 sig AS (SELECT lang AS country, doc_id AS entity_id, list_distinct({O.tokens('t')}) AS sig FROM d)"""
 
 
-@query(O.select(f"{FXDOC},\n{O.token_join('rk', O.side('entity_id % 5 = 0'), O.side('entity_id % 5 <> 0'), 20, 28)}", "SELECT country, query, id, score, rn FROM rk WHERE rn <= 3"))
+@query(O.select(f"{FXDOC},\n{O.token_join('rk', O.side('entity_id % 5 = 0'), O.side('entity_id % 5 <> 0'), 60000, 28)}", "SELECT country, query, id, score, rn FROM rk WHERE rn <= 3"))
 def c9_reverse_topk_documents(spark, sf_dir):
-    """The nearest of every fifth document for all others, by their first 300 characters."""
-    docs = X.table(spark, sf_dir, "documents").select(F.col("lang").alias("country"), F.col("doc_id").alias("id"), F.array_distinct(N.tokens(N.norm_text(F.substring("text", 1, 300)))).alias("sig"))
-    found = retrieve.token_join(docs.where(F.col("id") % 5 != 0), docs.where(F.col("id") % 5 == 0), 20, 28)
+    """The nearest of every fifth document for all others, by their whole texts."""
+    sig = F.array_distinct(N.tokens(N.norm_text(N.text("text"))))
+    docs = stored(spark, sf_dir, "docsig", lambda: X.table(spark, sf_dir, "documents").select(F.col("lang").alias("country"), F.col("doc_id").alias("id"), sig.alias("sig")))
+    found = retrieve.token_join(docs.where(F.col("id") % 5 != 0), docs.where(F.col("id") % 5 == 0), retrieve.Reverse().maxdf, retrieve.Reverse().rarest)
     return retrieve.top_k(found, 3).select("country", "query", "id", "score", "rn")
 
 

@@ -53,3 +53,9 @@ def test_never_a_candidate_is_not_retrieved(spark, sf_dir):
     assert {(r["s1_id"], r["cand_id"]) for r in rows} == missed
     total = queries.QUERIES["l2_loss_attribution"](spark, sf_dir).where("country = 'ALL'").first()
     assert (total["blocked"], total["blocked"] + total["tp"] + total["fn"]) == (len(missed), len(true))
+
+
+def test_late_passages_retrieve(spark, long_docs):
+    """Documents 1 and 5 share only a word at their ends that not all others have."""
+    rows = queries.QUERIES["c9_reverse_topk_documents"](spark, long_docs).where("rn = 1 AND score > 0").collect()
+    assert {(r["query"], r["id"]) for r in rows} == {(1, 5), (2, 0), (3, 5), (4, 0)}
