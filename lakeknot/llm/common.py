@@ -20,38 +20,53 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (local runs and tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir; in local mode (tests) a folder of our own where it is unset."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         import tempfile
 
         at = tempfile.mkdtemp(prefix="lakeknot-")
-        spark.sparkContext.setCheckpointDir(at)
-    elif not spark.sparkContext.getCheckpointDir():
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(at)
     return at
 
 
-#: Tasks for each core of the cluster that write a table at most.
-TASKS_A_CORE = 4
+#: Folders of the tables that this process has written and not yet deleted.
+_tables: dict[str, SparkSession] = {}
 
 
 def stored(df: DataFrame, codec: str = "zstd") -> DataFrame:
-    """df written once to a table in the shared folder and read back: cuts lineage, survives lost executors."""
+    """df written once to a table in the shared folder and read back: cuts lineage, survives lost executors.
+
+    Files are as many as the plan's tasks: the scan's splits, or what a shuffle's bytes make. The table lasts until
+    `discard` or `drop_tables`."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    # files for the cores there are: many tiny ones cost more than they hold
-    df.coalesce(TASKS_A_CORE * spark.sparkContext.defaultParallelism).write.option("compression", codec).parquet(path)
+    _tables[path] = spark
+    df.write.option("compression", codec).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    _tables.pop(path, None)
+
+
+def drop_tables() -> None:
+    """Deletes every table that `stored` has written, once no result that reads them is needed any more."""
+    for path, spark in list(_tables.items()):
+        _delete(spark, path)
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes tables that `stored` wrote, once all that needs them is stored itself."""
     for t in tables:
-        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.stored_at)
-        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(t.sparkSession, t.stored_at)
 
 
 def shuffle_parts(spark: SparkSession) -> int:
@@ -64,8 +79,11 @@ def buckets_for(spark: SparkSession, df_bytes: int, target: int = 8 << 20, least
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (for files, their bytes)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Catalyst's size estimate of a plan (for files, their bytes); where it knows none, the bytes of the texts, which are read once more for it."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size < 1 << 55:
+        return size
+    return df.agg(F.sum(F.octet_length(F.col("text").cast("string")))).head()[0] or 0
 
 
 def text_col(name: str = "text") -> Column:
@@ -153,24 +171,58 @@ def release(spark: SparkSession) -> None:
 
 def split_rows(keys: np.ndarray, n: int) -> list[tuple[int, np.ndarray]]:
     """(key, places) of each key that occurs, for keys below n; places in order."""
+    if not len(keys):
+        return []
     order = np.argsort(keys.astype(np.uint16) if n <= 1 << 16 else keys, kind="stable")
-    cuts = np.searchsorted(keys[order], np.arange(n + 1))
-    return [(k, order[cuts[k] : cuts[k + 1]]) for k in range(n) if cuts[k + 1] > cuts[k]]
+    by = keys[order]
+    cuts = np.append(np.flatnonzero(np.r_[True, by[1:] != by[:-1]]), len(by))
+    return [(int(by[a]), order[a:z]) for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+
+def binary_array(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """Binary values without a copy for each: values[cuts[i]:cuts[i + 1]] of one typed array."""
+    at = cuts.astype(np.int64) * values.itemsize
+    if at[-1] < 1 << 31:
+        return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+    raw = memoryview(np.ascontiguousarray(values)).cast("B")
+    return pa.array([raw[a:z] for a, z in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.binary())
+
+
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to differ from all columns."""
+    taken, out = {c.lower() for c in columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = "_" + n
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
+def column(name: str) -> Column:
+    """A column by its whole name, whatever letters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def files_for(spark: SparkSession, size: int, most: int = 128 << 20, least: int = 8 << 20) -> int:
+    """Files for `size` bytes: `most` bytes each, or smaller ones (not under `least`) while the cores would lack work."""
+    return max(1, -(-size // most), min(-(-size // least), 4 * spark.sparkContext.defaultParallelism))
 
 
 def with_scores(docs: DataFrame, keep: list[str], prefix: str, run, added: str) -> DataFrame:
     """doc_id, the columns of keep, held_out and the added columns (named with the prefix) that run makes of whole texts.
 
-    run(rows, bytes, offsets) gives the added arrays of a chunk."""
+    run(rows, bytes, offsets) gives the added arrays of a chunk. keep may hold any columns; where a new name clashes
+    with one of them, choose another prefix (`fresh` finds one)."""
     keep = ["doc_id", *[c for c in keep if c != "doc_id"]]
     held = F.coalesce(id_mod4() == HELD_OUT, F.lit(False))
-    inner = docs.select(*[F.col(f"`{c}`") for c in keep], held.alias(f"{prefix}held_out"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__scored"))
-    kept = inner.drop("__scored").schema
-    new = [f"{prefix}{x.split()[0]}" for x in added.split(", ")]
-    schema = StructType([*kept.fields, *[StructField(n, t.dataType) for n, t in zip(new, StructType.fromDDL(added).fields, strict=True)]])
+    inner = docs.select(F.struct(*[column(c) for c in keep]).alias("kept"), held.alias("held"), text_col())
+    new = StructType.fromDDL(added)
+    schema = StructType([inner.schema["kept"], inner.schema["held"], *[StructField(f"n{k}", f.dataType) for k, f in enumerate(new)]])
 
     def chunks(batches):
-        for rows, data, off in text_chunks(batches, "__scored", 1 << 19):
-            yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in kept.names], *run(rows, data, off)], [*kept.names, *new])
+        for rows, data, off in text_chunks(batches, most=1 << 19):
+            yield pa.RecordBatch.from_arrays([rows.column("kept"), rows.column("held"), *run(rows, data, off)], schema.names)
 
-    return inner.mapInArrow(chunks, schema)
+    out = inner.mapInArrow(chunks, schema)
+    return out.select(*[F.col("kept")[c].alias(c) for c in keep], F.col("held").alias(f"{prefix}held_out"), *[F.col(f"n{k}").alias(f"{prefix}{f.name}") for k, f in enumerate(new)])

@@ -18,49 +18,73 @@ empty table gives an empty file set; other columns are not read.
 from __future__ import annotations
 
 import uuid
-import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import wordbpe
-from .common import read_table, shared_dir, shuffle_parts, stored, text_chunks, text_col
+from .common import binary_array, discard, files_for, input_bytes, read_table, shared_dir, stored, text_chunks, text_col
 
 #: Ids between two checkpoints.
 STRIDE = 128
 #: Longest code, in bits; more where the vocabulary needs it.
 LIMIT = 18
-#: Coded bytes after which a block ends.
-BLOCK_BYTES = 1 << 20
 END_ID = 1
 
 
+#: Bytes of text that make up a block.
+BLOCK_TEXT = 2 << 20
+BLOCK_COLUMNS = "file_no int, block_no int, n_ids long, doc_ids array<long>, n_tokens array<long>"
+
+
 def tokenize(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
-    """doc_id, n_tokens, ids (little-endian unsigned 16-bit), of whole texts with the end id."""
+    """Blocks of whole documents in ascending doc_id order, with their ids in the vocabulary's width; a task's last row counts its ids instead.
+
+    Documents are dealt to files by ranges of doc_id (rows that share one also by a hash of their text), so that neither
+    ids nor codes are shuffled."""
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_col()).withColumn("tie", F.xxhash64("text"))
+    files = files_for(docs.sparkSession, input_bytes(docs))
+    sorted_ = base.repartitionByRange(files, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text", F.spark_partition_id().alias("file_no"))
 
     def run(batches):
         made = wordbpe.encoder(vocabulary)
-        tail = np.array([end_id], "<u2").tobytes()
-        for rows, _, _ in text_chunks(batches, most=1 << 20):
-            ids = [x + tail for x in made.encode([t or "" for t in rows.column("text").to_pylist()])]
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
+        total, file_no, block_no = np.zeros(made.largest + 1, np.int64), 0, 0
+        for rows, data, off in text_chunks(batches, most=BLOCK_TEXT):
+            ids, cut = made.encode(data, off, end_id)
+            total += np.bincount(ids, minlength=len(total))
+            file_no = rows.column("file_no")[0].as_py()
+            yield _block_row(file_no, block_no, len(ids), _list(rows.column("doc_id")), _list(pa.array(np.diff(cut), pa.int64())), [binary_array(ids, np.array([0, len(ids)])), pa.nulls(1, pa.binary())], ["ids", "counts"])
+            block_no += 1
+        some = np.flatnonzero(total)
+        if len(some):
+            counts = np.concatenate([some, total[some]]).astype("<i8")
+            yield _block_row(file_no, block_no, 0, _list(pa.array([], pa.int64())), _list(pa.array([], pa.int64())), [pa.nulls(1, pa.binary()), binary_array(counts, np.array([0, len(counts)]))], ["ids", "counts"])
+
+    return sorted_.mapInArrow(run, f"{BLOCK_COLUMNS}, ids binary, counts binary")
+
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_col()).mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+def _list(values: pa.Array) -> pa.ListArray:
+    """A list column of one row."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def id_counts(tokens: DataFrame) -> DataFrame:
-    """id, n over all documents; each task counts its own ids before the shuffle."""
+def _block_row(file_no: int, block_no: int, n_ids: int, doc_ids: pa.ListArray, n_tokens: pa.ListArray, more: list[pa.Array], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([file_no], pa.int32()), pa.array([block_no], pa.int32()), pa.array([n_ids], pa.int64()), doc_ids, n_tokens, *more], ["file_no", "block_no", "n_ids", "doc_ids", "n_tokens", *names])
+
+
+def id_counts(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, counts) over all documents, from the counts of the tokenizing tasks; at most a row for each id of the vocabulary comes back."""
 
     def run(batches):
-        total = np.zeros(1 << 16, np.int64)
-        for _, data, _ in text_chunks(batches, "ids"):
-            total += np.bincount(data.view("<u2"), minlength=1 << 16)
-        ids = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], ["id", "n"])
+        for b in batches:
+            for raw in b.column(0):
+                x = np.frombuffer(raw.as_buffer(), "<i8")
+                yield pa.RecordBatch.from_arrays([pa.array(x[: len(x) // 2]), pa.array(x[len(x) // 2 :])], ["id", "n"])
 
-    return tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    found = tokens.where(F.col("counts").isNotNull()).select("counts").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    return found["id"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -103,7 +127,7 @@ class Codebook:
         self.code, self.length = np.zeros(size, np.uint64), np.zeros(size, np.int64)
         self.code[self.ids] = (first >> (self.width - self.lengths)).astype(np.uint64)
         self.length[self.ids] = self.lengths
-        self.symbol_at = np.zeros((1 << self.width) + 1, np.uint16)
+        self.symbol_at = np.zeros((1 << self.width) + 1, np.uint16 if size <= 1 << 16 else np.uint32)
         self.length_at = np.ones((1 << self.width) + 1, np.uint8)
         used = int(step.sum())
         self.symbol_at[:used] = np.repeat(self.ids, step)
@@ -130,12 +154,12 @@ class Codebook:
     def decode(self, data: np.ndarray, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """The ids of stretches, one after another: stretch i starts at bit at[i] and has counts[i] ids."""
         if not len(at):
-            return np.zeros(0, np.uint16)
+            return np.zeros(0, self.symbol_at.dtype)
         padded = np.concatenate([data, np.zeros(8, np.uint8)])
         words = (padded[:-3].astype(np.uint32) << 24) | (padded[1:-2].astype(np.uint32) << 16) | (padded[2:-1].astype(np.uint32) << 8) | padded[3:]
         order = np.argsort(-counts, kind="stable")
         at, left = at[order].copy(), counts[order]
-        out = np.zeros((int(left[0]), len(at)), np.uint16)
+        out = np.zeros((int(left[0]), len(at)), self.symbol_at.dtype)
         live = np.searchsorted(-left, -np.arange(1, int(left[0]) + 1), "right")
         mask, drop = np.uint32((1 << self.width) - 1), 32 - self.width
         for k in range(int(left[0])):
@@ -149,68 +173,37 @@ class Codebook:
         return out.T[back][np.arange(out.shape[0])[None, :] < counts[:, None]]
 
 
-def _coded(tokens: DataFrame, book: Codebook) -> DataFrame:
-    """doc_id, n_tokens, bits, checkpoints (little-endian unsigned 64-bit bit offsets in the document)."""
+def _coded(tokens: DataFrame, book: Codebook, width: str) -> DataFrame:
+    """The blocks with doc_bytes, checkpoints (little-endian unsigned 64-bit bit offsets in the document) and bits."""
 
     def run(batches):
-        for rows, data, off in text_chunks(batches, "ids", 1 << 19):
-            ids, starts = data.view("<u2"), off[:-1] // 2
-            raw, offset, inside = book.encode(ids, starts)
-            n = np.diff(off) // 2
-            ends = np.append(offset[1:], len(raw))
-            marks = [inside[s : s + k : STRIDE].astype("<u8").tobytes() for s, k in zip(starts.tolist(), n.tolist(), strict=True)]
-            raw = raw.tobytes()
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(n, pa.int64()), pa.array([raw[a:b] for a, b in zip(offset.tolist(), ends.tolist(), strict=True)], pa.binary()), pa.array(marks, pa.binary())], ["doc_id", "n_tokens", "bits", "checkpoints"])
-
-    return tokens.select("doc_id", "n_tokens", "ids").mapInArrow(run, "doc_id long, n_tokens long, bits binary, checkpoints binary")
-
-
-BLOCK = "file_no int, block_no int, n_ids long, doc_ids array<long>, n_tokens array<long>, doc_bytes array<long>, checkpoints binary, bits binary"
-
-
-def _blocks(coded: DataFrame) -> DataFrame:
-    """Runs of consecutive documents of a file; rows come sorted by file_no and doc_id."""
-
-    def run(batches):
-        now, number, held, size = None, 0, [], 0
-
-        def block():
-            return pa.RecordBatch.from_pylist([{"file_no": now, "block_no": number, "n_ids": sum(r["n_tokens"] for r in held), "doc_ids": [r["doc_id"] for r in held], "n_tokens": [r["n_tokens"] for r in held], "doc_bytes": [len(r["bits"]) for r in held], "checkpoints": b"".join([r["checkpoints"] for r in held]), "bits": b"".join([r["bits"] for r in held])}], schema=out)
-
-        out = pa.schema([("file_no", pa.int32()), ("block_no", pa.int32()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int64())), ("doc_bytes", pa.list_(pa.int64())), ("checkpoints", pa.binary()), ("bits", pa.binary())])
         for b in batches:
-            for r in b.to_pylist():
-                if held and (r["file_no"] != now or size + len(r["bits"]) > BLOCK_BYTES):
-                    yield block()
-                    number, held, size = (number + 1 if r["file_no"] == now else 0), [], 0
-                elif not held:
-                    number = number if r["file_no"] == now else 0
-                now = r["file_no"]
-                held.append(r)
-                size += len(r["bits"])
-        if held:
-            yield block()
+            for row in range(b.num_rows):
+                one = b.slice(row, 1)
+                ids = np.frombuffer(one.column("ids")[0].as_buffer(), width)
+                n = one.column("n_tokens").flatten().to_numpy()
+                starts = np.cumsum(n) - n
+                bits, offset, inside = book.encode(ids, starts)
+                stretches = -(-n // STRIDE)
+                first = np.repeat(starts, stretches)
+                marks = inside[first + STRIDE * (np.arange(len(first)) - np.repeat(np.cumsum(stretches) - stretches, stretches))].astype("<u8")
+                size = np.diff(np.append(offset, len(bits)))
+                yield _block_row(one.column("file_no")[0].as_py(), one.column("block_no")[0].as_py(), len(ids), _list(one.column("doc_ids").flatten()), _list(one.column("n_tokens").flatten()), [_list(pa.array(size, pa.int64())), binary_array(marks, np.array([0, len(marks)])), binary_array(bits, np.array([0, len(bits)]))], ["doc_bytes", "checkpoints", "bits"])
 
-    return coded.mapInArrow(run, BLOCK)
+    blocks = tokens.where(F.col("ids").isNotNull()).select("file_no", "block_no", "doc_ids", "n_tokens", "ids")
+    return blocks.mapInArrow(run, f"{BLOCK_COLUMNS}, doc_bytes array<long>, checkpoints binary, bits binary")
 
 
 def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_ID) -> str:
     """Writes the ids of every text of docs (doc_id, text) under path; returns path."""
     spark = docs.sparkSession
-    tokens = stored(tokenize(docs, vocabulary, end_id))
-    # at most a row for each id of the vocabulary
-    counts = id_counts(tokens).toPandas()
-    ids, n = counts["id"].to_numpy(np.int64), counts["n"].to_numpy(np.int64)
+    tokens = stored(tokenize(docs, vocabulary, end_id), "none")
+    ids, n = id_counts(tokens)
     lengths = code_lengths(n)
     book = Codebook(ids, lengths)
     spark.createDataFrame([(int(i), int(x)) for i, x in zip(ids, lengths, strict=True)], "id long, length int").coalesce(1).write.parquet(f"{path}/codebook")
-    files = shuffle_parts(spark)
-    cuts = tokens.agg(F.percentile_approx("doc_id", [k / files for k in range(1, files)] or [0.5], 10_000).alias("c")).head()["c"] or []
-    cuts = sorted(set(cuts))
-    number = F.coalesce(F.size(F.filter(F.lit(cuts).cast("array<long>"), lambda c: c < F.col("doc_id"))), F.lit(0)) if cuts else F.lit(0)
-    coded = _coded(tokens, book).withColumn("file_no", F.when(F.col("doc_id").isNull(), 0).otherwise(number).cast("int"))
-    coded = coded.repartition(files, "file_no").sortWithinPartitions("file_no", "doc_id", "n_tokens", "bits").select("file_no", "doc_id", "n_tokens", "bits", "checkpoints")
-    _blocks(coded).write.option("compression", "none").parquet(f"{path}/blocks")
+    _coded(tokens, book, wordbpe.width(vocabulary)).write.option("compression", "none").parquet(f"{path}/blocks")
+    discard(tokens)
     return path
 
 
@@ -219,49 +212,42 @@ def read_codebook(spark: SparkSession, path: str) -> Codebook:
     return Codebook(rows["id"].to_numpy(np.int64), rows["length"].to_numpy(np.int64))
 
 
-def _decoded(block: dict, book: Codebook):
-    """(doc_id, n_tokens, ids as unsigned 16-bit) of a block's documents."""
-    n, sizes = np.array(block["n_tokens"], np.int64), np.array(block["doc_bytes"], np.int64)
+def _decoded(n: np.ndarray, sizes: np.ndarray, checkpoints: np.ndarray, bits: np.ndarray, book: Codebook) -> np.ndarray:
+    """The ids of a block's documents, from their counts and bytes."""
     stretches = -(-n // STRIDE)
-    base = np.repeat((np.cumsum(sizes) - sizes) * 8, stretches)
-    at = base + np.frombuffer(block["checkpoints"], "<u8").astype(np.int64)
+    at = np.repeat((np.cumsum(sizes) - sizes) * 8, stretches) + checkpoints.astype(np.int64)
     counts = np.full(len(at), STRIDE, np.int64)
     some = n > 0
     counts[(np.cumsum(stretches) - 1)[some]] = (n - (stretches - 1) * STRIDE)[some]
-    ids = book.decode(np.frombuffer(block["bits"], np.uint8), at, counts)
-    cuts = np.append(0, np.cumsum(n))
-    return block["doc_ids"], n, cuts, ids
+    return book.decode(bits, at, counts)
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, file_no, block_no, start_in_block, n_tokens, ids (array of long) as the files hold them."""
+    """doc_id, file_no, block_no, start_in_block, n_tokens, ids_u32 (little-endian unsigned 32-bit ids) as the files hold them."""
     book = read_codebook(spark, path)
 
     def run(batches):
         for b in batches:
             for row in range(b.num_rows):
-                block = b.slice(row, 1).to_pylist()[0]
-                doc, n, cuts, ids = _decoded(block, book)
-                k = len(doc)
-                yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array([block["file_no"]] * k, pa.int32()), pa.array([block["block_no"]] * k, pa.int32()), pa.array(cuts[:-1], pa.int64()), pa.array(n, pa.int64()), pa.array([ids[a:z].astype("<u4").tobytes() for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)], pa.binary())], ["doc_id", "file_no", "block_no", "start_in_block", "n_tokens", "ids_u32"])
+                one = b.slice(row, 1)
+                raw = lambda c: one.column(c)[0].as_buffer()  # noqa: E731, B023
+                n = one.column("n_tokens").flatten().to_numpy()
+                ids = _decoded(n, one.column("doc_bytes").flatten().to_numpy(), np.frombuffer(raw("checkpoints"), "<u8"), np.frombuffer(raw("bits"), np.uint8), book)
+                cuts, k = np.append(0, np.cumsum(n)), len(n)
+                same = lambda c, t: pa.array(np.full(k, one.column(c)[0].as_py()), t)  # noqa: E731, B023
+                yield pa.RecordBatch.from_arrays([one.column("doc_ids").flatten(), same("file_no", pa.int32()), same("block_no", pa.int32()), pa.array(cuts[:-1], pa.int64()), pa.array(n, pa.int64()), binary_array(ids.astype("<u4"), cuts)], ["doc_id", "file_no", "block_no", "start_in_block", "n_tokens", "ids_u32"])
 
     return spark.read.parquet(f"{path}/blocks").mapInArrow(run, "doc_id long, file_no int, block_no int, start_in_block long, n_tokens long, ids_u32 binary")
 
 
 def block_starts(spark: SparkSession, path: str) -> DataFrame:
     """file_no, block_no, block_start: ids before each block; from the small columns of the files alone."""
-    from pyspark.sql import Window
-
     sizes = spark.read.parquet(f"{path}/blocks").select("file_no", "block_no", "n_ids")
-    # a row for each file: as many as the write's partitions
-    totals = sizes.groupBy("file_no").agg(F.sum("n_ids").alias("n")).orderBy("file_no").collect()
-    before, at = {}, 0
-    for r in totals:
-        before[r["file_no"]] = at
-        at += r["n"]
-    files = spark.createDataFrame(list(before.items()) or [(0, 0)], "file_no int, file_start long")
-    inside = F.sum("n_ids").over(Window.partitionBy("file_no").orderBy("block_no").rowsBetween(Window.unboundedPreceding, -1))
-    return sizes.withColumn("inside", F.coalesce(inside, F.lit(0))).join(F.broadcast(files), "file_no").select("file_no", "block_no", (F.col("file_start") + F.col("inside")).alias("block_start"))
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    # a row for each file: as many as the write's tasks
+    files = sizes.groupBy("file_no").agg(F.sum("n_ids").alias("n")).withColumn("file_start", F.coalesce(F.sum("n").over(before.orderBy("file_no")), F.lit(0))).drop("n")
+    inside = F.coalesce(F.sum("n_ids").over(before.partitionBy("file_no").orderBy("block_no")), F.lit(0))
+    return sizes.withColumn("inside", inside).join(files, "file_no").select("file_no", "block_no", (F.col("file_start") + F.col("inside")).alias("block_start"))
 
 
 def op9_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,14 +37,17 @@ def pieces_of(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id
 
     def run(batches):
         made = wordbpe.encoder(vocabulary)
-        for rows, _, _ in text_chunks(batches, most=1 << 20):
-            doc, piece, start, length, crc = [], [], [], [], []
-            for d, raw in zip(rows.column("doc_id").to_pylist(), made.encode([t or "" for t in rows.column("text").to_pylist()]), strict=True):
-                ids = np.append(np.frombuffer(raw, "<u2"), np.uint16(end_id)).astype("<u4")
-                for k, at in enumerate(range(0, len(ids), capacity)):
-                    some = ids[at : at + capacity]
-                    doc.append(d), piece.append(k), start.append(at), length.append(len(some)), crc.append(zlib.crc32(some.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
+        for rows, data, off in text_chunks(batches, most=1 << 20):
+            ids, cut = made.encode(data, off, end_id)
+            size = np.diff(cut)
+            n = -(-size // capacity)
+            row = np.repeat(np.arange(len(n)), n)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            start = piece * capacity
+            length = np.minimum(capacity, size[row] - start)
+            raw, at = memoryview(ids.astype("<u4").tobytes()), 4 * (cut[row] + start)
+            crc = [zlib.crc32(raw[a:z]) for a, z in zip(at.tolist(), (at + 4 * length).tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id").take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_col()).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
