@@ -2,14 +2,16 @@
 
 A text's ids (public vocabulary, plus an end id) are cut into pieces of at most CAPACITY ids, and pieces are packed
 into as few sequences as possible. Only (doc_id, piece, length) takes part, never the ids. Pieces are dealt by hash
-into shards of about SHARD_PIECES, so that no task grows with the input; a shard wastes less than one sequence. Each
+into shards of about SHARD_PIECES, so that no task grows with the input. Each
 shard is bred on ISLANDS islands: genomes are piece -> bin tables, crossover injects whole well-filled bins of one
-parent into another, drops the bins that hold duplicates of their pieces and best-fits the displaced ones; after
+parent into another, drops the bins that hold duplicates of their pieces, lets the displaced ones take better places
+of others and best-fits what is left; after
 each round an island's elite moves on to the next. An island that reaches the lower bound ceil(sum / CAPACITY)
-is optimal and stops. The best genome of all islands is the answer.
+is optimal and stops. The best genome of all islands is the answer. The least filled sequences of all shards are then packed again together.
 
 Null texts are empty (a piece with the end id alone); repeated rows are packed each; rows with a null id are packed
-too; an empty table gives no rows; other columns are not read.
+too; rows that share an id keep a piece 0 each; a text of any length is cut into pieces; an empty table gives no rows;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from .common import read_table, stored, text_chunks, text_col
 CAPACITY = 4096
 END_ID = 1
 SHARD_PIECES = 12_000
-ISLANDS, ROUNDS, GENERATIONS, POPULATION, ELITE = 3, 2, 6, 4, 2
+ISLANDS, ROUNDS, GENERATIONS, POPULATION, ELITE = 3, 2, 40, 6, 2
 
 
 def pieces_of(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -94,6 +96,46 @@ class Packer:
     def first(self) -> np.ndarray:
         return self.best_fit(np.zeros(0, np.int64) if not len(self.lengths) else np.zeros(len(self.lengths), np.int64), np.arange(len(self.lengths)))
 
+    def exchange(self, genome: np.ndarray, loose: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One or two pieces of a bin change places with one or two loose ones that fill it better (S. Martello and P. Toth's dominance, as E. Falkenauer uses it)."""
+        genome, kept = genome.copy(), np.ones(len(genome), bool)
+        kept[loose] = False
+        fill = np.bincount(genome[kept], self.lengths[kept], int(genome.max()) + 1)
+        free = sorted((int(self.lengths[i]), i) for i in loose.tolist())
+        order = np.argsort(genome, kind="stable")
+        order = order[kept[order]]
+        cuts = np.searchsorted(genome[order], np.arange(len(fill) + 1))
+        for b in np.flatnonzero((fill > 0) & (fill < self.capacity)).tolist():
+            items, room = order[cuts[b] : cuts[b + 1]].tolist(), self.capacity - int(fill[b])
+            out = [(int(self.lengths[i]), (i,)) for i in items] + [(int(self.lengths[i] + self.lengths[j]), (i, j)) for k, i in enumerate(items) for j in items[k + 1 :]]
+            best = (0, (), ())
+            for size, go in out:
+                most = size + room
+                at = bisect_left(free, (most + 1,)) - 1
+                if at >= 0 and free[at][0] - size > best[0]:
+                    best = (free[at][0] - size, go, (free[at],))
+                lo, hi = 0, len(free) - 1
+                while lo < hi and len(go) == 2:
+                    both = free[lo][0] + free[hi][0]
+                    if both > most:
+                        hi -= 1
+                        continue
+                    if both - size > best[0]:
+                        best = (both - size, go, (free[lo], free[hi]))
+                    lo += 1
+                if best[0] == room:
+                    break
+            if best[0]:
+                for x in best[2]:
+                    free.remove(x)
+                    genome[x[1]] = b
+                for i in best[1]:
+                    insort(free, (int(self.lengths[i]), i))
+        return genome, np.array([i for _, i in free], np.int64)
+
+    def place(self, genome: np.ndarray, loose: np.ndarray) -> np.ndarray:
+        return self.best_fit(*self.exchange(genome, loose)) if len(loose) else genome
+
     def cross(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Injects half of b's well-filled bins into a."""
         fill = self.fills(b)
@@ -102,14 +144,13 @@ class Packer:
         injected = np.isin(b, taken)
         hit = np.unique(a[injected])  # a's bins with a duplicate of an injected piece
         child = np.where(injected, b + int(a.max()) + 1, a)
-        return self.best_fit(child, np.flatnonzero(np.isin(a, hit) & ~injected))
+        return self.place(child, np.flatnonzero(np.isin(a, hit) & ~injected))
 
     def mutate(self, genome: np.ndarray) -> np.ndarray:
-        """Empties the least filled bins and a few others."""
+        """Empties the least filled bin and a few others."""
         fill = self.fills(genome)
-        worst = np.argsort(fill, kind="stable")[: max(2, len(fill) // 50)]
-        some = self.rng.choice(len(fill), min(len(fill), max(2, len(fill) // 20)), replace=False)
-        return self.best_fit(genome, np.flatnonzero(np.isin(genome, np.concatenate([worst, some]))))
+        some = self.rng.choice(len(fill), min(len(fill), int(self.rng.integers(2, 7))), replace=False)
+        return self.place(genome, np.flatnonzero(np.isin(genome, np.append(some, fill.argmin()))))
 
     def evolve(self, population: list[np.ndarray], generations: int) -> list[np.ndarray]:
         if not population:
@@ -147,35 +188,51 @@ def _evolve(capacity: int, generations: int):
     return run
 
 
-def _assign(key, items: pd.DataFrame, genomes: pd.DataFrame) -> pd.DataFrame:
-    items = _pick(items)
-    best = genomes.sort_values(["bins", "unfit", "island"], kind="stable").iloc[0] if len(genomes) else None
-    genome = np.frombuffer(best["genome"], "<i4").astype(np.int64) if best is not None else np.zeros(0, np.int64)
-    order = np.argsort(genome, kind="stable")
-    lengths = items["length"].to_numpy()[order]
-    before = np.cumsum(lengths) - lengths
-    bins = genome[order]
-    first = np.r_[True, bins[1:] != bins[:-1]] if len(bins) else np.zeros(0, bool)
-    base = np.repeat(before[first], np.diff(np.append(np.flatnonzero(first), len(bins)))) if len(bins) else before
-    out = items.iloc[order].copy()
-    out["sequence_id"] = (int(key[0]) << 32) + bins
-    out["offset"] = before - base
-    return out[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
+#: Sequences of a shard, the least filled ones, that are packed once more together with those of other shards.
+LOOSE = 2
+
+
+def _assign(capacity: int, level: int):
+    def run(key, items: pd.DataFrame, genomes: pd.DataFrame) -> pd.DataFrame:
+        items = _pick(items)
+        best = genomes.sort_values(["bins", "unfit", "island"], kind="stable").iloc[0] if len(genomes) else None
+        genome = np.frombuffer(best["genome"], "<i4").astype(np.int64) if best is not None else np.zeros(0, np.int64)
+        order = np.argsort(genome, kind="stable")
+        lengths = items["length"].to_numpy()[order]
+        before = np.cumsum(lengths) - lengths
+        bins = genome[order]
+        first = np.r_[True, bins[1:] != bins[:-1]] if len(bins) else np.zeros(0, bool)
+        base = np.repeat(before[first], np.diff(np.append(np.flatnonzero(first), len(bins)))) if len(bins) else before
+        out = items.iloc[order].copy()
+        out["sequence_id"] = (level << 58) + (int(key[0]) << 24) + bins
+        out["offset"] = before - base
+        fill = np.bincount(bins, lengths)
+        loose = np.argsort(fill, kind="stable")[:LOOSE]
+        out["loose"] = np.isin(bins, loose[fill[loose] < capacity])
+        return out[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "loose"]]
+
+    return run
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES, level: int = 0) -> DataFrame:
     """pieces (doc_id, piece, start, length, ids_crc32) with sequence_id and offset.
 
-    pieces should be a stored table: each round reads it again."""
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    shards = max(1, -(-pieces.count() // SHARD_PIECES))
-    items = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)))
+    pieces should be a stored table: each round reads it again. What is loose in the shards is packed by itself, in
+    as few shards as it takes, until one shard is left."""
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, loose boolean"
+    shards = max(1, -(-pieces.count() // shard_pieces))
+    items = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", F.lit(level)), F.lit(shards)))
     ring = items.select("shard", F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)])).alias("island"), "doc_id", "piece", "length").groupBy("shard", "island")
     genome = "shard long, island int, bins int, unfit double, genome binary"
     elites = pieces.sparkSession.createDataFrame([], genome)
     for _ in range(ROUNDS):
         elites = stored(ring.cogroup(elites.groupBy("shard", "island")).applyInPandas(_evolve(capacity, GENERATIONS), genome))
-    return items.groupBy("shard").cogroup(elites.groupBy("shard")).applyInPandas(_assign, schema)
+    made = items.groupBy("shard").cogroup(elites.groupBy("shard")).applyInPandas(_assign(capacity, level), schema)
+    if shards == 1:
+        return made.drop("loose")
+    made = stored(made)
+    again = stored(made.where("loose").select(pieces.columns))
+    return made.where(~F.col("loose")).drop("loose").unionByName(pack(again, capacity, shard_pieces, level + 1))
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
