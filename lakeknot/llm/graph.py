@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -25,4 +25,6 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         own = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(own, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = stored(small.unionByName(own.select("u", F.col("m").alias("v"))).distinct())
+        after = stored(small.unionByName(own.select("u", F.col("m").alias("v"))).distinct())
+        discard(now)
+        now = after

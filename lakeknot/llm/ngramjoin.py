@@ -5,25 +5,29 @@ the prefix of every set that it links with. Work is skipped by the relations bet
 "Leveraging set relations in exact set similarity join":
 
 * equal sets are one set: only the smallest document of each class is indexed;
-* index lists hold (size, place) and are read in blocks of one size range, ordered by place, so that whole blocks
-  outside the size range, or beyond the place from which the need can still be met, are skipped;
+* index lists are cut into blocks of one size range, each in order of places; from a set on, whole blocks out of its
+  size range are skipped, and in the others all places from which the need can't be met;
 * lists of at most LIST documents give their pairs, which are checked on the whole sets (64-bit shingle hashes);
 * longer ones (their shingles and counts are known beforehand) never do. Each has a centre, with which all its
   documents are compared; what links with it takes over its group, and the answers of the others are derived from
   the computed one: two documents share what the centre has, less what either has lost, plus what they have lost or
   added in common. No pair is left out, and none is sent.
 
+`links` gives every link between the smallest documents of different sets; `groups` needs connections alone, so that in a star documents which
+link with its centre are not compared with each other.
+
 Shuffled data: packed hashes once for the counts, prefixes, pairs, the sets of documents that have a candidate, and
 differences from centres.
 
 Results for odd rows: null texts and texts without words have an empty set and link with nothing; rows with a null
-id are returned without a group; repeated rows link as equal sets; an empty table gives no rows; other columns
-are not read.
+id are returned without a group; repeated rows link as equal sets, and so do the texts of rows that share an id; ties
+go to the smaller id; a text of any length is one set; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pandas as pd
@@ -147,8 +151,11 @@ def hot_shingles(base: DataFrame, buckets: int, words: int) -> tuple[np.ndarray,
                 s, n = (_unpack(b.column(k).to_pylist(), "<u8" if k == 0 else "<i8")[0] for k in (0, 1))
                 yield pa.RecordBatch.from_arrays([pa.array([s[n > keep].tobytes()], pa.binary()), pa.array([n[n > keep].tobytes()], pa.binary())], ["shingles", "n"])
 
-        found = stored(found.mapInArrow(run, "shingles binary, n binary"))
+        fewer = stored(found.mapInArrow(run, "shingles binary, n binary"))
+        discard(found)
+        found = fewer
     rows = found.toPandas()
+    discard(found)
     s, n = _unpack(list(rows["shingles"]), "<u8")[0], _unpack(list(rows["n"]), "<i8")[0]
     order = np.argsort(s)
     return s[order], n[order]
@@ -205,21 +212,50 @@ def _postings(reps: DataFrame, hot: np.ndarray, hot_n: np.ndarray, buckets: int,
     return reps.select("doc_id", "n", "prefix").mapInArrow(run, "shingle long, doc long, n long" if long else "bucket int, blob binary")
 
 
-def list_pairs(doc: np.ndarray, n: np.ndarray, place: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Pairs of one index list, read in order of (size, place): from each set on until the sizes are out of range, past the places that can't meet the need."""
+#: Entries of a block of an index list; its sizes differ by at most a RANGE-th.
+SKIP, RANGE = 8, 16
+
+
+def list_blocks(n: list[int], place: list[int]) -> list[tuple[int, int, list[int], list[int]]]:
+    """(least size, largest size, places in order, their entries) of the blocks of a list that is in order of sizes."""
+    out, at = [], 0
+    while at < len(n):
+        to = at + 1
+        while to < len(n) and to - at < SKIP and (n[to] - n[at]) * RANGE <= n[at]:
+            to += 1
+        members = sorted(range(at, to), key=place.__getitem__)
+        out.append((n[at], n[to - 1], [place[i] for i in members], members))
+        at = to
+    return out
+
+
+def list_pairs(doc: np.ndarray, n: np.ndarray, place: np.ndarray, percent: int = PERCENT) -> tuple[list[tuple[int, int]], int]:
+    """(pairs of one index list that may link, entries that were looked at).
+
+    From each set, blocks of larger sizes are read until the sizes are out of range; in a block only the stretch of
+    places is read from which the need can still be met, which may be none of it."""
     order = np.lexsort((place, n))
     doc, n, place = doc[order].tolist(), n[order].tolist(), place[order].tolist()
-    out = []
+    blocks = list_blocks(n, place)
+    of = [k for k, b in enumerate(blocks) for _ in b[3]]
+    out, seen = [], 0
     for i in range(len(doc)):
         most = 100 * n[i] // percent  # the largest size that still links
-        left = n[i] - place[i]
-        for j in range(i + 1, len(doc)):
-            if n[j] > most:
+        p, left = place[i], n[i] - place[i]
+        for k in range(of[i], len(blocks)):
+            lo, hi, places, members = blocks[k]
+            if lo > most:
                 break
             # shared: at most the shingles before both places, and from them on
-            if 100 * (min(place[i], place[j]) + min(left, n[j] - place[j])) >= percent * n[j]:
-                out.append((min(doc[i], doc[j]), max(doc[i], doc[j])))
-    return out
+            least = needed(max(lo, n[i]), percent)
+            for at in range(bisect_left(places, least - left), bisect_right(places, hi - least + p)):
+                j = members[at]
+                if j <= i:
+                    continue
+                seen += 1
+                if n[j] <= most and 100 * (min(p, place[j]) + min(left, n[j] - place[j])) >= percent * n[j]:
+                    out.append((min(doc[i], doc[j]), max(doc[i], doc[j])))
+    return out, seen
 
 
 def _pairs(percent: int):
@@ -231,7 +267,7 @@ def _pairs(percent: int):
         size = np.diff(np.append(first, len(h)))
         found: set[tuple[int, int]] = set()
         for at, k in zip(first[size > 1].tolist(), size[size > 1].tolist(), strict=True):
-            found.update(list_pairs(doc[at : at + k], n[at : at + k], place[at : at + k], percent))
+            found.update(list_pairs(doc[at : at + k], n[at : at + k], place[at : at + k], percent)[0])
         return pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
 
     return run
@@ -297,8 +333,8 @@ def _differences(joined: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "center long, doc long, near boolean, size long, lost long, added long, tokens binary")
 
 
-def star_links(rows: pd.DataFrame, percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Links that connect what is connected in a star: rows with asks are compared with those that answer.
+def star_links(rows: pd.DataFrame, percent: int = PERCENT, every: bool = False) -> list[tuple[int, int]]:
+    """Links of a star between rows that ask and rows that answer: those that connect anew, or every one.
 
     The shingles that two documents share follow from the centre's size, what each has lost and added, and what of this
     they have in common; a document that links with the centre needs no further answer."""
@@ -327,7 +363,7 @@ def star_links(rows: pd.DataFrame, percent: int = PERCENT) -> list[tuple[int, in
         hit = (100 * shared >= percent * (size - l + a + total - shared)) & (docs != doc)
         for other in docs[hit].tolist():
             p, q = root(doc), root(other)
-            if p != q:
+            if every or p != q:
                 parent[max(p, q)] = min(p, q)
                 out.append((min(doc, other), max(doc, other)))
     return out
@@ -343,30 +379,35 @@ def _told(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     best = members.join(often, "doc").groupBy("shingle").agg(F.max(F.struct("k", (-F.col("doc")).alias("d"))).alias("p")).select("shingle", (-F.col("p.d")).alias("center"))
     stars = stored(members.join(best, "shingle").select("center", "doc").distinct())
     joined = stars.join(sets.select(F.col("doc_id").alias("doc"), F.col("shingles").alias("x")), "doc").join(sets.select(F.col("doc_id").alias("center"), F.col("shingles").alias("o")), "center")
-    return stored(_differences(joined.select("center", "doc", "x", "o"), percent), "none")
+    told = stored(_differences(joined.select("center", "doc", "x", "o"), percent), "none")
+    discard(stars)
+    return told
 
 
-def _star_pairs(told: DataFrame, percent: int) -> DataFrame:
-    """a, b: links between documents that share a long list."""
+def _star_pairs(told: DataFrame, percent: int, every: bool) -> DataFrame:
+    """a, b: links between documents that share a long list. Blocks of those that ask meet blocks of those that answer."""
     inside = F.col("size") - F.col("lost")
     linked = F.col("near") & (100 * inside >= percent * (F.col("size") + F.col("added")))
     direct = told.where(linked & (F.col("doc") != F.col("center"))).select(F.least("doc", "center").alias("a"), F.greatest("doc", "center").alias("b"))
-    blocks = told.groupBy("center", "near").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = told.withColumn("linked", linked).join(blocks, ["center", "near"]).withColumn("own", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    answers = dealt.withColumn("other", F.explode(every)).withColumns({"i": F.col("other"), "j": F.col("own"), "answers": F.lit(True)})
-    asks = dealt.where(~F.col("linked")).withColumn("other", F.explode(every)).withColumns({"i": F.col("own"), "j": F.col("other"), "answers": F.lit(False)})
-    sent = answers.unionByName(asks).select("center", "near", "i", "j", "answers", "doc", "size", "lost", "added", "tokens")
-    found = sent.groupBy("center", "near", "i", "j").applyInPandas(lambda rows: pd.DataFrame(star_links(rows, percent), columns=["a", "b"], dtype="int64"), "a long, b long")
+    told = told.withColumn("asks", F.lit(True) if every else ~linked)
+    some = lambda n: F.ceil(n / BLOCK).cast("int")
+    blocks = told.groupBy("center", "near").agg(some(F.count("*")).alias("answer_blocks"), some(F.count_if("asks")).alias("ask_blocks")).where(F.col("ask_blocks") > 0)
+    dealt = told.join(blocks, ["center", "near"])
+    own = lambda n: F.pmod(F.xxhash64("doc"), n).cast("int")
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    answers = dealt.withColumns({"j": own("answer_blocks"), "answers": F.lit(True)}).withColumn("i", all_of("ask_blocks"))
+    asks = dealt.where("asks").withColumns({"i": own("ask_blocks"), "answers": F.lit(False)}).withColumn("j", all_of("answer_blocks"))
+    sent = answers.select("center", "near", "i", "j", "answers", "doc", "size", "lost", "added", "tokens").unionByName(asks.select("center", "near", "i", "j", "answers", "doc", "size", "lost", "added", "tokens"))
+    found = sent.groupBy("center", "near", "i", "j").applyInPandas(lambda rows: pd.DataFrame(star_links(rows, percent, every), columns=["a", "b"], dtype="int64"), "a long, b long")
     return direct.unionByName(found)
 
 
-def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of docs (doc_id, text)."""
+def _joined(docs: DataFrame, words: int, percent: int, every: bool) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """(doc_id, n, digest of every row; links between the smallest documents of classes; tables that these read)."""
     spark = docs.sparkSession
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_col())
     known = base.where(F.col("doc_id").isNotNull())
-    buckets = min(1 << 15, buckets_for(spark, input_bytes(docs)))
+    buckets = buckets_for(spark, input_bytes(docs))
     hot, hot_n = hot_shingles(known, buckets, words)
     release(spark)
     prefixes = stored(_prefixes(base, hot, hot_n, words, percent), "none")
@@ -382,15 +423,32 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     # the sets of documents with a candidate are made where they are compared; shuffled once, they serve both sides
     ids = stored(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
     links = stored(_verified(pairs, _sets(known, ids, words), percent))
+    discard(pairs, ids)
     release(spark)
     ids = stored(members.select(F.col("doc").alias("doc_id")).distinct())
     told = _told(members, _sets(known, ids, words), percent)
+    discard(members, ids)
     release(spark)
-    star = components(links.unionByName(_star_pairs(told, percent)))
-    discard(told)
-    release(spark)
-    least = small.where(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    of_class = least.join(star.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("group"))
+    return small, links.unionByName(_star_pairs(told, percent, every)), [links, told]
+
+
+def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """a, b: every link between different sets, each by its smallest document (a < b)."""
+    _, found, _ = _joined(docs, words, percent, True)
+    return found.distinct()
+
+
+def _least(small: DataFrame) -> DataFrame:
+    return small.where(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("digest").agg(F.min("doc_id").alias("rep"))
+
+
+def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of docs (doc_id, text)."""
+    small, found, tables = _joined(docs, words, percent, False)
+    star = components(found)
+    discard(*tables)
+    release(docs.sparkSession)
+    of_class = _least(small).join(star.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("group"))
     out = small.join(of_class, "digest", "left")
     group = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("group")).otherwise(F.col("doc_id")))
     return out.select("doc_id", F.col("n").alias("n_shingles"), group.alias("component_id"))
