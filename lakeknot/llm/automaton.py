@@ -135,6 +135,8 @@ class Codec:
         labels = {i: bytes(letters[c] for c in t) for t, i in vocab.items() if t not in self.special}
         pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         self.automaton = Automaton(labels, [(vocab[u], vocab[v], vocab[u + v]) for u, v in pairs])
+        #: Ids as cached: two bytes where the vocabulary allows it.
+        self.dtype = "<u2" if max([*vocab.values(), *self.special.values()]) < 1 << 16 else "<u4"
         self.arcs = [b""] * (max([*vocab.values(), *self.special.values()]) + 1)
         for i, b in labels.items():
             self.arcs[i] = b
@@ -155,17 +157,17 @@ class Codec:
         for w in words:
             raw = known.get(w)
             if raw is None:
-                raw = np.array(self.automaton.encode(w.encode("utf-8")), "<u2").tobytes()
+                raw = np.array(self.automaton.encode(w.encode("utf-8")), self.dtype).tobytes()
                 if len(w) <= CACHE_CHARS:
                     known[w] = raw
             out.append(raw)
         return b"".join(out)
 
     def encode(self, text: str) -> bytes:
-        """Little-endian unsigned 16-bit ids."""
+        """Little-endian unsigned ids of dtype."""
         if self.split is None or not self.split.search(text):
             return self._words(text)
-        return b"".join([np.array([self.special[x]], "<u2").tobytes() if x in self.special else self._words(x) for x in self.split.split(text) if x])
+        return b"".join([np.array([self.special[x]], self.dtype).tobytes() if x in self.special else self._words(x) for x in self.split.split(text) if x])
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.arcs.__getitem__, ids)).decode("utf-8", "replace")
@@ -190,7 +192,7 @@ def encode_texts(docs: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches):
         made = codec(vocabulary)
         for rows, _, _ in text_chunks(batches, most=1 << 20):
-            ids = [np.frombuffer(made.encode(t or ""), "<u2").astype("<u4").tobytes() for t in rows.column("text").to_pylist()]
+            ids = [np.frombuffer(made.encode(t or ""), made.dtype).astype("<u4").tobytes() for t in rows.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_col()).mapInArrow(run, "doc_id long, ids binary")

@@ -96,6 +96,41 @@ def test_genetic_steps_keep_every_piece():
         assert len(np.unique(genome)) == genome.max() + 1
 
 
+def test_evolution_beats_best_fit():
+    """Lengths that best fit packs badly: triples that fill a sequence exactly, and evenly spread ones."""
+    g = np.random.default_rng(0)
+    a = g.integers(380, 490, 20)
+    b = np.array([g.integers(250, (1000 - x) // 2 + 1) for x in a])
+    for lengths, capacity in ((np.concatenate([a, b, 1000 - a - b]), 1000), (np.random.default_rng(0).integers(20, 101, 120), 150)):
+        p = packing.Packer(lengths, capacity, 0)
+        first, best = p.first(), p.evolve([], 200)[0]
+        assert p.bound <= best.max() + 1 < first.max() + 1
+        assert p.fills(best).max() <= capacity
+
+
+def test_shards_share_their_last_sequences(spark):
+    """Each of many small shards would leave a sequence nearly empty."""
+    pieces = spark.createDataFrame([(i, 0, 0, 30, 0) for i in range(400)], "doc_id long, piece int, start long, length long, ids_crc32 long")
+    rows = packing.pack(pieces, capacity=300, shard_pieces=25).collect()
+    fill = Counter()
+    for r in rows:
+        fill[r["sequence_id"]] += r["length"]
+    assert len(rows) == 400
+    assert len({(r["sequence_id"], r["offset"]) for r in rows}) == 400
+    assert max(fill.values()) <= 300
+    assert len(fill) <= 42
+
+
+def test_word_encoder():
+    """Random Latin-1 texts, marks, apostrophes, special tokens and other scripts against the library."""
+    made, r = wordbpe.encoder(wordbpe.vocabulary()), random.Random(8)
+    kinds = ["".join(map(chr, range(256))), "ab's.,t'!é \n1½ÀçµªºÿßÉ\xa0\x85\x1c\x0b", "don't l'autre s're ve'll ''!s1's", "abc<| |>ﬁ日🙂é "]
+    texts = ["", "x" * 30000, "!" * 500, *["".join(r.choice(r.choice(kinds)) for _ in range(r.randrange(60))) for _ in range(1500)]]
+    texts += ["".join(r.choice(k) for _ in range(r.randrange(60))) for k in kinds for _ in range(1500)]
+    for t, ids in zip(texts, made.encode_texts(texts), strict=True):
+        assert ids.tolist() == made.library.encode(t, add_special_tokens=False).ids
+
+
 def test_automaton(docs, none):
     from tokenizers import Tokenizer
 
@@ -156,6 +191,24 @@ def test_licenses(docs, none):
     assert licenses.scan(none).count() == 0
 
 
+def test_license_blocks(spark):
+    r = random.Random(3)
+    long = " ".join(f"{r.choice(VOCAB)}{k}" for k in range(120))
+    texts = [
+        "The board released a report under the new driving license rules",
+        prose(40) + " released under the MIT license " + prose(40),
+        prose(333) + " " + long + " " + prose(50),
+        prose(77) + " " + " ".join(w for k, w in enumerate(long.split()) if k % 6) + " " + prose(5),
+        " ".join(long.split()[:80]),
+        licenses.TEMPLATES["mit-text"].upper(),
+    ]
+    rows = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), licenses.TEMPLATES | {"long": long}).orderBy("doc_id").collect()
+    assert [x["labels"] for x in rows] == ["", "mit,mit-notice", "long", "long", "", "mit-grant,mit-text"]
+    at = {m["label"]: (m["first_word"], m["words"]) for m in rows[2]["matches"]}["long"]
+    assert at[0] <= 333 + 24
+    assert at[1] == 256
+
+
 def test_quality(spark, sf_dir, docs, none):
     model = quality.fit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     rows = quality.score(docs, model, keep=docs.columns, prefix="__")
@@ -202,6 +255,27 @@ def test_top_k(spark):
     assert covertree.top_k(spark.createDataFrame([], "vec_id long, embedding array<double>, label int")).count() == 0
 
 
+def test_top_k_of_many_blocks_and_large_numbers(spark):
+    g = np.random.default_rng(6)
+    vec = [(i, (g.normal(size=3) * 10.0 ** g.integers(0, 14)).tolist()) for i in range(300)]
+    vec += [(2000, [1e300] * 4), (2001, [1e300] * 4), (2020, [-1e300, 1.0, 2.0, 3.0]), (2040, [1.0] * 4), (2041, [0.0, 1.0, 2.0, 3.5]), (2060, [1.7e308] * 4)]
+    z = {i: [int(np.floor(np.clip(x * 256, -covertree.LARGEST, covertree.LARGEST))) for x in v] for i, v in vec}
+    rows = covertree.top_k(spark.createDataFrame(vec, "vec_id long, embedding array<double>"), every=20, index_rows=40, query_rows=10).collect()
+    for q in [i for i in z if i % 20 == 0]:
+        best = sorted((-max(min(sum(a * b for a, b in zip(z[q], z[i], strict=True)), 2**63 - 1), 1 - 2**63), i) for i in z if i != q and len(z[i]) == len(z[q]))[:5]
+        assert [(-r["score"], r["vec_id"]) for r in sorted(rows, key=lambda r: r["rank"]) if r["query_id"] == q] == best
+
+
+def test_known_scores_prune_other_blocks():
+    g = np.random.default_rng(1)
+    near, far = g.normal(size=(2, 800, 8)).round(2) * 100
+    ask = covertree.CoverTree(np.arange(10_000, 10_040), np.round(near[:40] + 3000))
+    kth = covertree.DualSearch(ask, covertree.CoverTree(np.arange(800), np.round(near + 3000)), 5).score[:, -1]
+    other = covertree.CoverTree(np.arange(5000, 5800), np.round(far))
+    assert covertree.DualSearch(ask, other, 5).compared > 0
+    assert covertree.DualSearch(ask, other, 5, kth).compared == 0
+
+
 def test_dual_search_prunes():
     g = np.random.default_rng(0)
     centres = g.normal(size=(12, 16)) * 900
@@ -252,6 +326,43 @@ def test_groups(docs, words, percent):
     assert got == brute_groups(words, percent)
 
 
+def brute_sets(words):
+    out = {}
+    for i, t in enumerate(TEXTS):
+        w = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+        out[i] = frozenset(tuple(w[k : k + words]) for k in range(len(w) - words + 1)) if len(w) >= words else frozenset({tuple(w)} if w else ())
+    return out
+
+
+@pytest.mark.parametrize(("words", "percent"), [(4, 85), (5, 60)])
+def test_every_link(docs, words, percent):
+    sets, least = brute_sets(words), {}
+    for i, s in sets.items():
+        least.setdefault(s, i)
+    reps = sorted(i for s, i in least.items() if s)
+    want = {(a, b) for a in reps for b in reps if a < b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+    rows = ngramjoin.links(docs, words, percent).collect()
+    assert len(rows) == len(want)
+    assert {(r["a"], r["b"]) for r in rows} == want
+
+
+def test_list_blocks_are_skipped():
+    g = np.random.default_rng(2)
+    n = g.integers(20, 400, 600)
+    place = (g.random(600) * n).astype(np.int64)
+    pairs, seen = ngramjoin.list_pairs(np.arange(600), n, place, 80)
+    want, in_range = set(), 0
+    for i in range(600):
+        for j in range(i):
+            most = max(n[i], n[j])
+            if 100 * min(n[i], n[j]) >= 80 * most:
+                in_range += 1
+                if 100 * (min(place[i], place[j]) + min(n[i] - place[i], n[j] - place[j])) >= 80 * most:
+                    want.add((j, i))
+    assert set(pairs) == want
+    assert len(want) <= seen < 0.75 * in_range
+
+
 def test_groups_of_no_rows_and_null_ids(spark, none):
     assert ngramjoin.groups(none).count() == 0
     rows = spark.createDataFrame([(None, BASE), (None, BASE), (3, BASE)], "doc_id long, text string")
@@ -317,7 +428,7 @@ def brute_repeats():
 
 def test_repeats(docs, none):
     rows = substrings.remove_repeats(docs).collect()
-    assert {r["doc_id"]: (r["n_bytes"], r["n_bytes"] - len(r["kept"]), len(r["ranges"]), bytes(r["kept"])) for r in rows} == brute_repeats()
+    assert {r["row"]["doc_id"]: (r["n_bytes"], r["n_bytes"] - len(r["kept"]), len(r["ranges"]), bytes(r["kept"])) for r in rows} == brute_repeats()
     assert substrings.remove_repeats(none).count() == 0
 
 
