@@ -8,7 +8,9 @@ packing    what is left is packed into sequences
 
 All but the last return the columns of documents; `repeats` sets text and n_chars anew, dropping the bytes of a
 character that was cut in two, and keeps documents of which nothing is left. Null texts count as empty texts; rows with
-a null doc_id pass `near` and `repeats` as they are; empty tables pass all stages; extra columns pass all but the last.
+a null doc_id pass `near` and `repeats` as they are; rows that share an id share their fate in `near`; of ties the smallest
+doc_id stays; texts of any length are read whole; empty tables pass all stages; extra columns of any name pass all but
+the last.
 """
 
 from __future__ import annotations
@@ -19,33 +21,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeknot.llm import language, ngramjoin, packing, quality, substrings, wordbpe
-from lakeknot.llm.common import read_table, stored
+from lakeknot.llm.common import column, discard, fresh, read_table, stored
 
 #: Mean probability from which a language counts as identified; chance alone gives less.
 MIN_SCORE = 0.35
 
 
+def unused_prefix(docs: DataFrame) -> str:
+    prefix = "_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    return prefix
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = quality.fit(docs, read_table(spark, sf_dir, "labels"))
-    scored = quality.score(docs, model, keep=docs.columns, prefix="__")
-    return scored.where(F.col("__predicted") == 1).select(docs.columns)
+    model, own = quality.fit(docs, read_table(spark, sf_dir, "labels")), unused_prefix(docs)
+    scored = quality.score(docs, model, keep=docs.columns, prefix=own)
+    return scored.where(column(f"{own}predicted") == 1).select(*map(column, docs.columns))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = language.predict(docs, language.fit(docs), keep=docs.columns, prefix="__")
-    return found.where((F.col("__lang_pred") != language.UND) & (F.col("__score") >= MIN_SCORE)).select(docs.columns)
+    own = unused_prefix(docs)
+    found = language.predict(docs, language.fit(docs), keep=docs.columns, prefix=own)
+    return found.where((column(f"{own}lang_pred") != language.UND) & (column(f"{own}score") >= MIN_SCORE)).select(*map(column, docs.columns))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    copy = fresh(docs.columns, "copy")[0]
     found = ngramjoin.groups(docs)
-    copies = found.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("__copy")).distinct()
-    return docs.join(copies, docs["doc_id"] == copies["__copy"], "left_anti").select(docs.columns)
+    copies = found.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias(copy)).distinct()
+    return docs.join(copies, column("doc_id") == column(copy), "left_anti").select(*map(column, docs.columns))
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cut = substrings.remove_repeats(docs)
     text = F.when(F.size("ranges") > 0, substrings.valid_text(F.col("kept"))).otherwise(F.col("kept").cast("string"))
-    return cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    made = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return cut.select("row", text.alias("text")).select(*[made.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,6 +78,9 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+    for n, (_, stage) in enumerate(STAGES[:-1]):
+        after = stored(stage(spark, docs, sf_dir))
+        if n:
+            discard(docs)
+        docs = after
     return STAGES[-1][1](spark, docs, sf_dir)
