@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Values of the hash that orders samples.
+HASHES = 10007
+
+
 @dataclass(frozen=True)
 class Rule:
     """threshold; share of the entity's best score that is needed (0: none); pairs an entity keeps at most (0: all)."""
@@ -94,9 +98,21 @@ def blend(first: Column, second: Column, weight: Column | float) -> Column:
 
 
 def band_sample(pairs: DataFrame, cap: int) -> DataFrame:
-    """Pairs in the band and each entity's hardest negative, as many of either label, at most cap, in order of a hash."""
+    """Pairs in the band and each entity's hardest negative, as many of either label, at most cap, in order of a hash; ties by entity and record.
+
+    The hash has HASHES values; counts of these tell from which on a label's rows are too many, and only the rows of that
+    one value are put in order."""
     hardest = Window.partitionBy("s1_id").orderBy(F.col("y"), F.desc("score"), "source", "cand_id")
     some = pairs.withColumn("__rn", F.row_number().over(hardest)).where(in_band(F.col("score")) | ((F.col("__rn") == 1) & (F.col("y") == 0))).drop("__rn")
-    n = some.agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("q")).select(F.least(F.lit(cap // 2), F.greatest("p", F.lit(1)), F.greatest("q", F.lit(1))).alias("per"))
-    order = Window.partitionBy("y").orderBy((F.col("cand_id") * 7919 + F.col("s1_id") * 31) % 10007, "s1_id", "cand_id")
-    return some.withColumn("__rn", F.row_number().over(order)).join(n).where(F.col("__rn") <= F.col("per")).drop("__rn", "per")
+    some = some.withColumn("__h", (F.col("cand_id") * 7919 + F.col("s1_id") * 31) % HASHES)
+    counts = some.groupBy("y", "__h").agg(F.count("*").alias("__n"))
+    each = counts.agg(F.sum(F.when(F.col("y") == 1, F.col("__n"))).alias("p"), F.sum(F.when(F.col("y") == 0, F.col("__n"))).alias("q"))
+    per = each.select(F.least(F.lit(cap // 2), *[F.greatest(F.coalesce(c, F.lit(0)), F.lit(1)) for c in ("p", "q")]).alias("__per"))
+    before = Window.partitionBy("y").orderBy("__h").rowsBetween(Window.unboundedPreceding, -1)
+    # at most 2 * HASHES rows
+    room = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).join(per).where(F.col("__before") < F.col("__per"))
+    room = room.select("y", "__h", (F.col("__per") - F.col("__before")).alias("__room"), (F.col("__per") - F.col("__before") < F.col("__n")).alias("__cut"))
+    near = some.join(F.broadcast(room), ["y", "__h"])
+    order = Window.partitionBy("y", "__h").orderBy("s1_id", "cand_id")
+    last = near.where("__cut").withColumn("__rn", F.row_number().over(order)).where(F.col("__rn") <= F.col("__room")).drop("__rn")
+    return near.where(~F.col("__cut")).unionByName(last).drop("__h", "__room", "__cut")

@@ -10,7 +10,7 @@ from ..functions import vocab
 
 def upper_case(c: Column) -> Column:
     """Whether c has letters and none of them is small."""
-    return c.rlike("[A-Z]") & ~c.rlike("[a-z]")
+    return (F.upper(c) == c) & (F.lower(c) != c)
 
 
 def noise_label(pair_flags: Column, addr_empty: Column, shares_word: Column, name: Column) -> Column:
@@ -46,11 +46,12 @@ def miss_cause(shared: Column, indexed: Column) -> Column:
     return F.when(F.size(shared) == 0, "no shared token").when(F.size(indexed) == 0, "shared but unindexed").otherwise("outranked")
 
 
-def fn_reason(truth: DataFrame, scored: DataFrame, predicted: DataFrame, threshold: float) -> DataFrame:
-    """source, s1_id, cand_id, reason of each true pair that is not predicted."""
+def fn_reason(truth: DataFrame, scored: DataFrame, ruled: DataFrame, predicted: DataFrame, threshold: float) -> DataFrame:
+    """source, s1_id, cand_id, reason of each true pair that is not predicted. ruled: the pairs that the rule keeps, before owners are found."""
     key = ["source", "s1_id", "cand_id"]
-    missed = truth.select(*key).join(predicted.select(*key), key, "left_anti").join(scored.select(*key, "score"), key, "left")
-    return missed.select(*key, F.when(F.col("score").isNull(), "never_a_candidate").when(F.col("score") < threshold, "below_threshold").otherwise("taken_by_another_s1").alias("reason"))
+    missed = truth.select(*key).join(predicted.select(*key), key, "left_anti").join(scored.select(*key, "score"), key, "left").join(ruled.select(*key, F.lit(True).alias("kept")), key, "left")
+    reason = F.when(F.col("score").isNull(), "never_a_candidate").when(F.col("score") < threshold, "below_threshold").when(F.col("kept").isNull(), "below_floor_or_cap").otherwise("taken_by_another_s1")
+    return missed.select(*key, reason.alias("reason"))
 
 
 def fp_owner(truth: DataFrame, predicted: DataFrame) -> DataFrame:

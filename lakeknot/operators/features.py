@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import normalize as N
 from ..functions import similarity as S
 
-#: The order in which models take the features of the first stage ...
+#: The features of the first stage in the order in which models take them ...
 STAGE1 = """
 block_score pass_id source name_inter name_jac name_cont name_n1 name_n2 addr_inter addr_jac addr_cont addr_n1 addr_n2
 num_inter num_jac postal_cmp fuzz_name_set fuzz_name_core fuzz_addr_sort cand_indic cand_nonascii cand_url cand_addr_empty

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.catalog import numbered
 from . import decide
 
 BETA2 = 0.25
@@ -33,31 +34,56 @@ def macro_f(entities: DataFrame, predicted: DataFrame) -> DataFrame:
     return joined.agg(F.round(F.avg(f_beta(zero("pred"), F.col("n_true"), zero("tp"))), 6).alias("macro_f"), F.count("*").alias("entities"))
 
 
-def rule_grid(spark, thresholds: list[float], floors: list[float]) -> DataFrame:
-    return spark.createDataFrame([(t, r) for t in thresholds for r in floors], "thr double, rel double")
+def grid(lo: float, hi: float, by: float) -> list[float]:
+    """lo, lo + by, ... up to hi, two digits each."""
+    return [round(lo + k * by, 2) for k in range(round((hi - lo) / by) + 1)]
 
 
-def sweep(entities: DataFrame, pairs: DataFrame, grid: DataFrame, one_owner: bool = False, only_scored: bool = False) -> DataFrame:
-    """thr, rel, macro_f for each rule of the grid.
+def level(value: Column, levels: list) -> Column:
+    """How many of the rising levels value reaches, by halving."""
 
-    Ranks and owners don't depend on a threshold, so they are found once; the grid meets an entity's pairs only as counts
-    above each threshold. only_scored: over entities with pairs alone."""
+    def among(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(value >= levels[mid], among(mid + 1, hi)).otherwise(among(lo, mid))
+
+    return among(0, len(levels))
+
+
+def sweep(entities: DataFrame, pairs: DataFrame, thresholds: list[float], floors: list[float], one_owner: bool = False, only_scored: bool = False, by: str | None = None) -> DataFrame:
+    """thr, rel, macro_f of each rule of the grid (rising thresholds and floors).
+
+    Ranks and owners don't depend on a rule, so they are found once. A pair is reduced to the highest threshold and the
+    highest floor that it reaches, pairs to counts of these for each entity; from the top down, an entity's F changes
+    only at thresholds where it has pairs, and only these changes are summed. by: a column of entities, for whose values
+    the grid is told too, 'ALL' standing for all. only_scored: over entities with pairs alone."""
     held = decide.exclusive(pairs) if one_owner else pairs
     # an entity's best score is over all its pairs, those that others own too
     best = pairs.groupBy("s1_id").agg(F.max("score").alias("best"))
-    hit = held.join(best, "s1_id").join(grid, (F.col("score") >= F.col("thr")) & (F.col("score") >= F.col("rel") * F.col("best")))
-    counts = entity_counts(hit, "thr", "rel")
+    reached = held.join(best, "s1_id").select("s1_id", "y", level(F.col("score"), thresholds).alias("t"), level(F.col("score"), [F.lit(r) * F.col("best") for r in floors]).alias("f"))
+    counts = reached.where((F.col("t") > 0) & (F.col("f") > 0)).groupBy("s1_id", "t", "f").agg(F.count("*").alias("n"), F.sum("y").alias("tp"))
+    counts = counts.withColumn("f", F.explode(F.sequence(F.lit(1), F.col("f")))).groupBy("s1_id", "f", "t").agg(F.sum("n").alias("n"), F.sum("tp").alias("tp"))
     base = entities.join(best.select("s1_id"), "s1_id", "left_semi") if only_scored else entities
-    # what an entity adds beyond the value it has without predictions
-    gain = base.join(counts, "s1_id").select("thr", "rel", (f_beta(F.col("pred"), F.col("n_true"), F.col("tp")) - (F.col("n_true") == 0).cast("int")).alias("g"))
-    floor = base.agg(F.sum((F.col("n_true") == 0).cast("int")).alias("zero"), F.count("*").alias("n"))
-    out = grid.join(gain.groupBy("thr", "rel").agg(F.sum("g").alias("g")), ["thr", "rel"], "left").join(floor)
-    return out.select("thr", "rel", F.round((F.coalesce("g", F.lit(0.0)) + F.col("zero")) / F.col("n"), 6).alias("macro_f"))
-
-
-def best_rule(swept: DataFrame) -> DataFrame:
-    """The first best rule."""
-    return swept.orderBy(F.desc("macro_f"), "thr", "rel").limit(1)
+    base = base.select("s1_id", "n_true", (F.col(by) if by else F.lit("ALL")).alias("part"))
+    down = Window.partitionBy("s1_id", "f").orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = counts.withColumns({"pred": F.sum("n").over(down), "hit": F.sum("tp").over(down)}).join(base, "s1_id")
+    change = f_beta(F.col("pred"), F.col("n_true"), F.col("hit")) - f_beta(F.col("pred") - F.col("n"), F.col("n_true"), F.col("hit") - F.col("tp"))
+    parts = F.explode(F.array_distinct(F.array("part", F.lit("ALL")))).alias("part")
+    # from here on a row for each part and rule
+    changes = upto.select("part", "f", "t", change.alias("g")).groupBy("part", "f", "t").agg(F.sum("g").alias("g")).select(parts, "f", "t", "g").groupBy("part", "f", "t").agg(F.sum("g").alias("g"))
+    without = base.groupBy("part").agg(F.sum((F.col("n_true") == 0).cast("int")).alias("zero"), F.count("*").alias("n")).select(parts, "zero", "n").groupBy("part").agg(F.sum("zero").alias("zero"), F.sum("n").alias("n"))
+    rules = without.withColumn("r", F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.lit(x).alias("thr"), F.lit(f).alias("f"), F.lit(r).alias("rel")) for t, x in enumerate(thresholds, 1) for f, r in enumerate(floors, 1)]))).select("part", "zero", "n", "r.*")
+    above = Window.partitionBy("part", "f").orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = F.sum(F.coalesce("g", F.lit(0.0))).over(above) + F.col("zero")
+    out = rules.join(changes, ["part", "f", "t"], "left").select(*([F.col("part").alias(by)] if by else []), "thr", "rel", F.round(total / F.col("n"), 6).alias("macro_f"))
+    return out
+
+
+def best_rule(swept: DataFrame, *by: str) -> DataFrame:
+    """The first best rule, of all or for each value of by."""
+    first = Window.partitionBy(*(by or [F.lit(1)])).orderBy(F.desc("macro_f"), "thr", "rel")
+    return swept.withColumn("__rn", F.row_number().over(first)).where(F.col("__rn") == 1).drop("__rn")
 
 
 def truth_pairs(truth: DataFrame, source: int) -> DataFrame:
@@ -95,11 +121,13 @@ def recall_micro_macro(pairs: DataFrame, truth: DataFrame) -> DataFrame:
 
 
 def recall_at_k(pairs: DataFrame, truth: DataFrame, ks: tuple[int, ...] = KS) -> DataFrame:
-    """k, recall: of records with candidates and truth, those whose true entity is among the first k (rn)."""
+    """k, recall, recall_all: records whose true entity is among the first k (rn), of those with candidates and truth, and of all with truth."""
     own = truth.select("cand_id", F.col("s1_id").alias("own"))
-    at = pairs.join(own, "cand_id").groupBy("cand_id").agg(F.min(F.when(F.col("s1_id") == F.col("own"), F.col("rn"))).alias("at"))
-    row = at.agg(F.count("*").alias("n"), *[F.sum((F.col("at") <= k).cast("int")).alias(f"k{k}") for k in ks])
-    return row.select(F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.round(F.coalesce(F.col(f"k{k}"), F.lit(0)) / F.greatest("n", F.lit(1)), 6).alias("recall")) for k in ks])).alias("r")).select("r.*")
+    found = pairs.select("cand_id", "s1_id", "rn").join(own, "cand_id", "right")
+    at = found.groupBy("cand_id").agg(F.min(F.when(F.col("s1_id") == F.col("own"), F.col("rn"))).alias("at"), F.count("s1_id").alias("some"))
+    row = at.agg(F.count("*").alias("all"), F.count_if(F.col("some") > 0).alias("n"), *[F.count_if(F.col("at") <= k).alias(f"k{k}") for k in ks])
+    share = lambda k, n: F.round(F.col(f"k{k}") / F.greatest(n, F.lit(1)), 6)
+    return row.select(F.explode(F.array(*[F.struct(F.lit(k).alias("k"), share(k, "n").alias("recall"), share(k, "all").alias("recall_all")) for k in ks])).alias("r")).select("r.*")
 
 
 def bucket(index: Column) -> Column:
@@ -131,5 +159,4 @@ def hash_sample(records: DataFrame, key: str, n: int) -> DataFrame:
 
 def stop_entities(validation: DataFrame) -> DataFrame:
     """Every fifth validation entity, in order; early stopping watches them."""
-    place = Window.orderBy("s1_id")
-    return validation.select("s1_id").distinct().withColumn("__n", F.row_number().over(place) - 1).where(F.col("__n") % 5 == 0).drop("__n")
+    return numbered(validation.select("s1_id").distinct(), "s1_id").where(F.col("__row") % 5 == 0).drop("__row")

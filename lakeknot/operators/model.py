@@ -12,9 +12,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import metrics
+from . import features, metrics
 
 FOLDS = 5
+#: What the second stage takes: the first stage's features, its score, and its own.
+STAGE2_NAMES = [*features.STAGE1, "score1", *features.STAGE2]
 
 
 def assembled(rows: DataFrame, names: list[str]) -> DataFrame:
@@ -36,6 +38,11 @@ def score(rows: DataFrame, model: Model, names: list[str], out: str) -> DataFram
     return made.withColumn(out, vector_to_array("probability")[1]).drop("__x", "rawPrediction", "probability", "prediction")
 
 
+def importance_table(spark, model: Model, names: list[str], k: int = 20) -> DataFrame:
+    """feature, gain of the k features that gain most; at most k rows."""
+    return spark.createDataFrame(importance(model, names, k), "feature string, gain double")
+
+
 def out_of_fold(rows: DataFrame, names: list[str], entity: str = "entity", out: str = "score1", **kw) -> DataFrame:
     """rows with the score of a model that has not seen their entity."""
     rows = rows.withColumn("__fold", metrics.fold(F.col(entity)))

@@ -3,18 +3,30 @@
 The index side is the clean source, the query side a noisy one; both never leave their country. A token's weight is
 ln(documents / documents with it); a score is the sum over shared tokens divided by the root of the index record's
 indexed tokens. Scores are ranked rounded to six digits and ties go to the smaller id, so results don't depend on the
-order of sums. Joins are equi-joins on (country, token): hot tokens are capped on the index side and what is left of
-the skew is split at run time; the top-k is a window with a literal bound, which Spark prunes before its shuffle.
+order of sums. A token that all documents hold weighs nothing: it opens candidates only for a query without any other.
+
+The join is bounded in two rounds, exactly. In the first each query opens its rarest tokens, as many as fit a budget of
+postings (one at least); documents that could still reach the kth score are completed with the query's other tokens.
+If no unseen document can reach the kth score, by the weight of the tokens left over the norm that this many tokens ask
+for, the query is done. In the second round the others open just the tokens that it takes to say so (all, where fewer
+than k documents were found). Joins are equi-joins on (country, token); the top-k is a window with a literal bound, which
+Spark prunes before its shuffle.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import normalize as N
+from ..sources.catalog import numbered, scratch
+
+#: Postings that a query opens in the first round.
+BUDGET = 128
+#: Scores are told apart by six digits; bounds keep a little more distance.
+SLACK = 1e-5
 
 
 @dataclass(frozen=True)
@@ -83,14 +95,14 @@ def length_norm(index: DataFrame) -> DataFrame:
 
 
 def rarest(queries: DataFrame, frequencies: DataFrame, r: int) -> DataFrame:
-    """query, token, idf: the r rarest indexed tokens of each query, ties to the smaller token."""
+    """country, query, token, df, idf, rn: the r rarest indexed tokens of each query, ties to the smaller token; without weight only the first."""
     rank = Window.partitionBy("country", "query").orderBy("df", "token")
     found = postings(queries).withColumnRenamed("id", "query").join(frequencies, ["country", "token"])
-    return found.withColumn("rn", F.row_number().over(rank)).where(F.col("rn") <= r).drop("rn")
+    return found.withColumn("rn", F.row_number().over(rank)).where((F.col("rn") <= r) & ((F.col("idf") > 0) | (F.col("rn") == 1)))
 
 
 def token_join(queries: DataFrame, docs: DataFrame, maxdf: int, r: int, norm: bool = True) -> DataFrame:
-    """country, query, id, score of every pair that shares one of the query's r rarest tokens."""
+    """country, query, id, score of every pair that shares one of the query's r rarest tokens: what `search` finds the best of without making all."""
     index = indexed(docs, maxdf)
     asked = rarest(queries, doc_freq(docs, maxdf), r).select("country", "query", "token")
     score = asked.join(index, ["country", "token"]).groupBy("country", "query", "id").agg(F.sum("idf").alias("score"))
@@ -99,6 +111,55 @@ def token_join(queries: DataFrame, docs: DataFrame, maxdf: int, r: int, norm: bo
     return score.select("country", "query", "id", F.round("score", 6).alias("score"))
 
 
+def search(queries: DataFrame, docs: DataFrame, maxdf: int, r: int, k: int, norm: bool = True, budget: int = BUDGET) -> DataFrame:
+    """country, query, id, score, rn: the k best of `token_join` for each query; a column k of queries may ask for fewer."""
+    key = ["country", "query"]
+    index = scratch(indexed(docs, maxdf), "index")
+    norms = length_norm(index) if norm else index.select("country", "id").distinct().withColumn("norm", F.lit(1.0))
+    norms = scratch(norms, "norms")
+    least = norms.groupBy("country").agg(F.min("norm").alias("least"))
+    tokens = index.groupBy("country", "token").agg(F.first("df").alias("df"), F.first("idf").alias("idf"))
+    so_far = Window.partitionBy(*key).orderBy("rn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    asked = rarest(queries, tokens, r).withColumns({"opens": F.sum("df").over(so_far), "above": F.sum("idf").over(so_far)})
+    depth = queries.select("country", F.col("id").alias("query"), (F.least("k", F.lit(k)) if "k" in queries.columns else F.lit(k)).alias("k"))
+    asked = scratch(asked.join(depth, key).select(*key, "token", "idf", "rn", "opens", "above", "k"), "asked")
+
+    first = asked.where((F.col("rn") == 1) | (F.col("opens") <= budget))
+    found = scratch(_completed(first, asked, index, norms, k), "found")
+    # per query: weights from its rarest token on, how many are open, and the kth score so far
+    sums = asked.join(least, "country").groupBy(*key).agg(F.array_sort(F.collect_list("above")).alias("sums"), F.first("least").alias("least"))
+    state = sums.join(first.groupBy(*key).agg(F.max("rn").alias("p")), key).join(found.where(F.col("rn") == F.col("k")).select(*key, F.col("score").alias("end")), key, "left")
+    # an unseen document holds tokens of the rest alone, and at least as many indexed tokens as it shares
+    beyond = "aggregate(sequence({p} + 1, size(sums)), 0D, (m, i) -> greatest(m, (sums[i - 1] - sums[{p} - 1]) / greatest(least, sqrt(CAST(i - {p} AS DOUBLE)))))"
+    enough = f"coalesce(end - {SLACK}, 0D) > CASE WHEN {{p}} < size(sums) THEN {beyond} ELSE -1D END"
+    state = state.withColumn("need", F.expr(f"CASE WHEN p = size(sums) OR {enough.format(p='p')} THEN 0 ELSE coalesce(filter(sequence(p, size(sums)), q -> {enough.format(p='q')})[0], size(sums)) END"))
+    state = scratch(state.select(*key, "need"), "state")
+    left = asked.join(state.where(F.col("need") > 0), key)
+    more = scratch(_completed(left.where(F.col("rn") <= F.col("need")).drop("need"), left.drop("need"), index, norms, k), "found")
+    return found.join(state.where(F.col("need") == 0).select(*key), key, "left_semi").unionByName(more).drop("k")
+
+
+def _completed(opened: DataFrame, asked: DataFrame, index: DataFrame, norms: DataFrame, k: int) -> DataFrame:
+    """country, query, id, score, rn, k: the k best documents that the opened tokens lead to, by all tokens asked."""
+    key = ["country", "query"]
+    partial = opened.join(index.select("country", "token", "id"), ["country", "token"]).groupBy(*key, "id").agg(F.sum("idf").alias("s")).join(norms, ["country", "id"])
+    at = opened.groupBy(*key).agg(F.max("rn").alias("p"), F.max("above").alias("seen"), F.first("k").alias("k"))
+    gain = asked.groupBy(*key).agg(F.max("above").alias("all")).join(at, key).select(*key, "k", (F.col("all") - F.col("seen")).alias("gain"))
+    partial = scratch(partial.join(gain, key), "partial")
+    # a lower bound on the kth score: the kth of what the opened tokens alone give
+    kth = _kth(partial.select(*key, "id", "k", (F.col("s") / F.col("norm")).alias("score")), k)
+    able = partial.join(kth, key, "left").where(F.col("kth").isNull() | ((F.col("s") + F.col("gain")) / F.col("norm") >= F.col("kth") - SLACK)).select(*key, "id", "s", "norm", "k")
+    rest = asked.join(at.select(*key, "p"), key).where(F.col("rn") > F.col("p")).select(*key, "token", "idf")
+    more = able.select(*key, "id").join(rest, key).join(index.select("country", "token", "id"), ["country", "token", "id"]).groupBy(*key, "id").agg(F.sum("idf").alias("m"))
+    scored = able.join(more, [*key, "id"], "left").select(*key, "id", "k", F.round((F.col("s") + F.coalesce("m", F.lit(0.0))) / F.col("norm"), 6).alias("score"))
+    return top_k(scored, k).where(F.col("rn") <= F.col("k"))
+
+
+def _kth(scored: DataFrame, k: int) -> DataFrame:
+    """country, query, kth: the kth score of queries that have as many."""
+    return top_k(scored, k).where(F.col("rn") == F.col("k")).select("country", "query", F.col("score").alias("kth"))
+
+
 def top_k(scored: DataFrame, k: int, limit=None) -> DataFrame:
     """The k best of each query (fewer where the column limit says so), with rank rn."""
     best = Window.partitionBy("country", "query").orderBy(F.desc("score"), "id")
@@ -115,24 +176,38 @@ def reverse(clean: DataFrame, noisy: DataFrame, params: Reverse = Reverse(), ric
 
     Records with at most short_tokens address tokens get k_short, all others k."""
     docs = _docs(typed_signature(clean, rich), F.col("sig"))
-    signed = typed_signature(noisy, rich)
-    scored = token_join(_docs(signed, F.col("sig")), docs, params.maxdf, params.rarest, params.length_norm)
-    depth = noisy.select(F.col("entity_id").alias("query"), "country", "source", F.when(F.size("addr_tok") <= params.short_tokens, params.k_short).otherwise(params.k).alias("depth"))
-    best = top_k(scored, max(params.k, params.k_short)).join(depth, ["country", "query"]).where(F.col("rn") <= F.col("depth"))
-    return best.select("country", "source", F.col("id").alias("s1_id"), F.col("query").alias("cand_id"), F.col("score").alias("block_score"), "rn")
+    depth = F.when(F.size("addr_tok") <= params.short_tokens, params.k_short).otherwise(params.k)
+    asked = typed_signature(noisy, rich).select("country", F.col("entity_id").alias("id"), "sig", depth.alias("k"))
+    best = search(asked, docs, params.maxdf, params.rarest, max(params.k, params.k_short), params.length_norm)
+    of = noisy.select("country", F.col("entity_id").alias("query"), "source")
+    return best.join(of, ["country", "query"]).select("country", "source", F.col("id").alias("s1_id"), F.col("query").alias("cand_id"), F.col("score").alias("block_score"), "rn")
 
 
-def forward(clean: DataFrame, noisy: DataFrame, params: Forward = Forward()) -> DataFrame:
-    """country, source, s1_id, cand_id, block_score, pass_id: three passes in one, the best score of a pair, ties to the lower pass."""
+def passes(noisy: DataFrame, params: Forward = Forward()) -> list[tuple[int, DataFrame, Column, int, int]]:
+    """(pass_id, index side, tokens, cap, depth) of the forward passes: address, name, address prefixes; a depth of 0 leaves one out."""
     with_addr = noisy.where(F.size("addr_tok") > 0)
     prefix = N.prefixes(F.col("addr_tok"), params.prefix_len)
-    passes = [(1, with_addr, F.col("addr_tok"), params.maxdf_addr, params.k_addr), (2, noisy, F.col("name_core"), params.maxdf_name, params.k_name), (3, with_addr, prefix, params.maxdf_prefix, params.k_prefix)]
-    found = [top_k(token_join(_docs(clean, sig), _docs(side, sig), maxdf, params.rarest), k).withColumn("pass_id", F.lit(n)) for n, side, sig, maxdf, k in passes if k]
+    made = [(1, with_addr, F.col("addr_tok"), params.maxdf_addr, params.k_addr), (2, noisy, F.col("name_core"), params.maxdf_name, params.k_name), (3, with_addr, prefix, params.maxdf_prefix, params.k_prefix)]
+    return [p for p in made if p[-1]]
+
+
+def forward_pass(clean: DataFrame, side: DataFrame, sig: Column, maxdf: int, rarest: int, k: int) -> DataFrame:
+    """country, s1_id, cand_id, block_score: the best noisy records of each clean one by one kind of token."""
+    best = search(_docs(clean, sig), _docs(side, sig), maxdf, rarest, k)
+    return best.select("country", F.col("query").alias("s1_id"), F.col("id").alias("cand_id"), F.col("score").alias("block_score"))
+
+
+def forward(clean: DataFrame, noisy: DataFrame, params: Forward = Forward()) -> DataFrame:
+    """country, source, s1_id, cand_id, block_score, pass_id: three passes in one, the best score of a pair, ties to the lower pass."""
+    return united([forward_pass(clean, side, sig, maxdf, params.rarest, k).withColumn("pass_id", F.lit(n)) for n, side, sig, maxdf, k in passes(noisy, params)], noisy)
+
+
+def united(found: list[DataFrame], noisy: DataFrame) -> DataFrame:
+    """One row for each pair of several passes (country, s1_id, cand_id, block_score, pass_id), with its source."""
     union = found[0]
     for x in found[1:]:
         union = union.unionByName(x)
-    pairs = union.select("country", F.col("query").alias("s1_id"), F.col("id").alias("cand_id"), F.col("score").alias("block_score"), "pass_id")
-    return dedup_best(pairs).join(noisy.select(F.col("entity_id").alias("cand_id"), "source"), "cand_id")
+    return dedup_best(union).join(noisy.select(F.col("entity_id").alias("cand_id"), "source"), "cand_id")
 
 
 def dedup_best(pairs: DataFrame) -> DataFrame:
@@ -143,14 +218,11 @@ def dedup_best(pairs: DataFrame) -> DataFrame:
 
 def query_fraction(records: DataFrame, step: int) -> DataFrame:
     """Every step-th record of a country, in order of ids."""
-    row = Window.partitionBy("country").orderBy("entity_id")
-    return records.withColumn("__row", F.row_number().over(row) - 1).where(F.col("__row") % step == 0).drop("__row")
+    rows = numbered(records, "country", "entity_id")
+    first = rows.groupBy("country").agg(F.min("__row").alias("__first"))
+    return rows.join(first, "country").where((F.col("__row") - F.col("__first")) % step == 0).drop("__row", "__first")
 
 
 def keep_entities(pairs: DataFrame, kept: DataFrame) -> DataFrame:
     """Pairs of the kept clean records (s1_id); to be applied after the top-k."""
     return pairs.join(kept.select("s1_id"), "s1_id", "left_semi")
-
-
-def rich(params: Reverse, **change) -> Reverse:
-    return replace(params, **change)

@@ -32,8 +32,7 @@ class Linker:
         rows = model.score(features.stage1(pairs, clean, noisy), self.first, features.STAGE1, "score1")
         if self.second is None:
             return rows.withColumn("score", F.col("score1"))
-        names = [*features.STAGE1, "score1", *features.STAGE2]
-        return model.score(features.stage2(rows, clean), self.second, names, "score")
+        return model.score(features.stage2(rows, clean), self.second, model.STAGE2_NAMES, "score")
 
     def link(self, clean: DataFrame, noisy: DataFrame) -> DataFrame:
         """country, source, s1_id, cand_id, score of the pairs that stay."""

@@ -101,7 +101,7 @@ def token_join(name: str, clean: str, noisy: str, maxdf: int, r: int) -> str:
 {n}_x AS (SELECT country, id, token, df, idf FROM {n}_i JOIN {n}_w USING (country, token)),
 {n}_l AS (SELECT country, id, sqrt(greatest(count(*), 1)) AS norm FROM {n}_x GROUP BY country, id),
 {n}_q AS (SELECT country, id AS query, unnest(sig) AS token FROM ({noisy})),
-{n}_r AS (SELECT country, query, token, idf FROM (SELECT *, row_number() OVER (PARTITION BY country, query ORDER BY df, token) AS rn FROM {n}_q JOIN {n}_w USING (country, token)) WHERE rn <= {r}),
+{n}_r AS (SELECT country, query, token, idf FROM (SELECT *, row_number() OVER (PARTITION BY country, query ORDER BY df, token) AS rn FROM {n}_q JOIN {n}_w USING (country, token)) WHERE rn <= {r} AND (idf > 0 OR rn = 1)),
 {n}_s AS (SELECT country, query, x.id, sum(x.idf) AS s FROM {n}_r JOIN {n}_x AS x USING (country, token) GROUP BY country, query, x.id),
 {n} AS (SELECT country, query, id, score, row_number() OVER (PARTITION BY country, query ORDER BY score DESC, id) AS rn
   FROM (SELECT country, query, id, round(s / norm, 6) AS score FROM {n}_s JOIN {n}_l USING (country, id)))"""

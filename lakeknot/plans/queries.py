@@ -14,6 +14,7 @@ from ..functions import vocab
 from ..operators import decide, diagnose, features, metrics, model, retrieve
 from ..sources import catalog as C
 from . import fixtures as X
+from . import link
 from . import oracle as O
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,7 +118,12 @@ def a10_write_candidates(spark, sf_dir):
     return C.load_pairs(spark, path) if out else out
 
 
-QUERIES["a7_load_pairs"], ORACLES["a7_load_pairs"] = QUERIES["a10_write_candidates"], ORACLES["a10_write_candidates"]
+@query(O.select(O.REV, "SELECT s1_id, cand_id, block_score FROM rev WHERE country = 'B' AND source = 3"))
+def a7_load_pairs(spark, sf_dir):
+    """One shard of the candidates: the only files that are read."""
+    path = C.work_folder(spark, "candidates")
+    C.write_partitioned(candidates(spark, sf_dir)[2].drop("rn"), path, "country", "source")
+    return C.load_pairs(spark, path).where((F.col("country") == "B") & (F.col("source") == 3)).select("s1_id", "cand_id", "block_score")
 
 
 @query(O.select(O.SCORED, "SELECT s1_id, cand_id, source, score, country FROM scored"))
@@ -149,14 +155,28 @@ def a9_write_tsv_rows(spark, sf_dir):
     return C.scan_tsv(spark, path, C.StructType([C.StructField("s1_id", C.StringType()), C.StructField("ids", C.StringType())]))
 
 
-@query(O.select(LISTS + ", cands AS (SELECT DISTINCT s1_id, CAST(cand_id AS VARCHAR) AS cand FROM scored)", """
-SELECT 'missing entity' AS "check", 0 AS bad UNION ALL SELECT 'repeated entity', 0 UNION ALL SELECT 'unknown entity', 0
-UNION ALL SELECT 'record of several entities', count(*) FROM (SELECT cand_id FROM excl GROUP BY cand_id HAVING count(*) > 1)
-UNION ALL SELECT 'match not a candidate', count(*) FROM excl AS x WHERE NOT EXISTS (SELECT 1 FROM cands AS c WHERE c.s1_id = x.s1_id AND c.cand = CAST(x.cand_id AS VARCHAR))"""))
+def _checks(lists: str, table: str) -> str:
+    m = f"(SELECT s1_id, unnest(string_split(ids, ',')) AS cand FROM {table} WHERE ids <> '')"
+    return f"""
+SELECT '{lists}' AS lists, 'missing entity' AS "check", count(*) AS bad FROM ents WHERE s1_id NOT IN (SELECT s1_id FROM {table})
+UNION ALL SELECT '{lists}', 'repeated entity', count(*) FROM (SELECT s1_id FROM {table} GROUP BY s1_id HAVING count(*) > 1)
+UNION ALL SELECT '{lists}', 'unknown entity', count(DISTINCT s1_id) FROM {table} WHERE s1_id NOT IN (SELECT s1_id FROM ents)
+UNION ALL SELECT '{lists}', 'record of several entities', count(*) FROM (SELECT cand FROM {m} GROUP BY cand HAVING count(*) > 1)
+UNION ALL SELECT '{lists}', 'match not a candidate', count(*) FROM {m} AS x WHERE NOT EXISTS (SELECT 1 FROM cands AS c WHERE c.s1_id = x.s1_id AND c.cand = x.cand)"""
+
+
+BROKEN = "SELECT s1_id, ids FROM lists WHERE s1_id % 97 <> 5 UNION ALL SELECT s1_id, ids FROM lists WHERE s1_id % 89 = 3 UNION ALL SELECT -1, '1'"
+
+
+@query(O.select(f"{LISTS}, cands AS (SELECT DISTINCT s1_id, CAST(cand_id AS VARCHAR) AS cand FROM scored), broken AS ({BROKEN})", _checks("right", "lists") + " UNION ALL " + _checks("broken", "broken")))
 def a13_submission_checks(spark, sf_dir):
+    """Checks of right lists, and of lists that lack, repeat and invent entities."""
     e = entities(spark, sf_dir)
     matched = decide.entity_lists(e, kept(spark, sf_dir), "matched")
-    return decide.list_checks(e.select("s1_id"), matched, decide.entity_lists(e, X.scored(spark, sf_dir), "candidates"))
+    broken = matched.where(F.col("s1_id") % 97 != 5).unionByName(matched.where(F.col("s1_id") % 89 == 3)).unionByName(spark.createDataFrame([(-1, "1")], "s1_id long, matched string"))
+    cands = decide.entity_lists(e, X.scored(spark, sf_dir), "candidates")
+    check = lambda name, m: decide.list_checks(e.select("s1_id"), m, cands).withColumn("lists", F.lit(name))
+    return check("right", matched).unionByName(check("broken", broken))
 
 
 # text ------------------------------------------------------------------------------------------------------------
@@ -206,13 +226,21 @@ def b7_addr_tok_documents(spark, sf_dir):
     return docs.select("doc_id", joined(N.addr_tokens(N.norm_text(F.col("text")))).alias("addr_tok"))
 
 
-VOCAB = " UNION ALL ".join(f"SELECT '{kind}' AS kind, unnest({O.words(keys)}) AS word, unnest({O.words(vals)}) AS form" for kind, keys, vals in (("legal", vocab.LEGAL, vocab.LEGAL), ("street", vocab.STREET, vocab.STREET.values()), ("stop", vocab.ADDR_STOP, vocab.ADDR_STOP), ("state", vocab.STATE, vocab.STATE.values())))
+#: Words, and what the vocabularies make of them, written by hand: legal form, address stop word, street form, state code.
+PROBES = """
+inc 1 0 - -|llc 1 0 - -|sarl 1 0 - -|gmbh 1 0 - -|pvt 1 0 - -|ltd 1 0 - -|bakery 0 0 - -|selarl 1 0 - -|corporation 1 0 - -
+street 0 0 st -|road 0 0 rd -|avenue 0 0 ave -|av 0 0 ave -|boulevard 0 0 blvd -|bd 0 0 blvd -|lane 0 0 ln -|rue 0 0 r -|chemin 0 0 ch -|impasse 0 0 imp -|square 0 0 sq -|highway 0 0 hwy -|terrace 0 0 ter -
+null 0 1 - -|near 0 1 - -|suite 0 1 - -|apt 0 1 - -|floor 0 1 - -|district 0 1 - -|the 0 1 - -|du 0 1 - -|bis 0 1 - -|ter 0 1 ter -|door 0 1 - -
+california 0 0 - ca|texas 0 0 - tx|maharashtra 0 0 - mh|bihaar 0 0 - br|odisha 0 0 - od|orissa 0 0 - od|delhi 0 0 - dl|alabama 0 0 - al|kerala 0 0 - kl|punjab 0 0 - pb|wyoming 0 0 - wy|telangana 0 0 - tg
+"""
+_rows = [x.split() for line in PROBES.strip().splitlines() for x in line.split("|")]
 
 
-@query(VOCAB)
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{w}', {'true' if a == '1' else 'false'}, {'true' if b == '1' else 'false'}, '{c if c != '-' else ''}', '{d if d != '-' else ''}')" for w, a, b, c, d in _rows) + ") AS v(word, legal, stop, street, state)")
 def b10_vocabularies(spark, sf_dir):
-    rows = [("legal", w, w) for w in vocab.LEGAL] + [("street", *x) for x in vocab.STREET.items()] + [("stop", w, w) for w in vocab.ADDR_STOP] + [("state", *x) for x in vocab.STATE.items()]
-    return spark.createDataFrame(rows, "kind string, word string, form string")
+    word = F.col("word")
+    found = lambda t: F.coalesce(N.table(t)[word], F.lit(""))
+    return spark.createDataFrame([(r[0],) for r in _rows], "word string").select("word", N.one_of(word, vocab.LEGAL).alias("legal"), N.one_of(word, vocab.ADDR_STOP).alias("stop"), found(vocab.STREET).alias("street"), found(vocab.STATE).alias("state"))
 
 
 @query(O.select(O.NORM, f"SELECT entity_id, array_to_string(list_transform(name_core, lambda t: {O.skeleton('t')}), ' ') AS skel, array_to_string(list_sort(list_distinct(list_transform(addr_tok, lambda t: substr(t, 1, 4)))), ' ') AS prefixes, replace(name_norm, ' ', '') AS nospace, {O.acronym('name_core')} AS acronym, array_to_string(list_sort({O.grams('name_norm')}), '|') AS grams, name_norm || CASE WHEN addr_norm = '' THEN ' |' ELSE ' | ' || addr_norm END AS pair_text FROM norm"))
@@ -255,31 +283,32 @@ def _clean_docs(spark, sf_dir):
     return retrieve._docs(retrieve.typed_signature(clean), F.col("sig"))
 
 
-IDX = f"{O.SIG},\n{O.token_join('rk', O.side('source = 1'), O.side('source > 1'), 50, 5)}"
+CAP, RAREST = retrieve.Reverse().maxdf, retrieve.Reverse().rarest
+IDX = f"{O.SIG},\n{O.token_join('rk', O.side('source = 1'), O.side('source > 1'), CAP, RAREST)}"
 
 
 @query(O.select(IDX, "SELECT country, token, df, round(idf, 6) AS idf FROM rk_w"))
 def c2_doc_freq_cap_idf(spark, sf_dir):
-    return retrieve.doc_freq(_clean_docs(spark, sf_dir), 50).withColumn("idf", F.round("idf", 6))
+    return retrieve.doc_freq(_clean_docs(spark, sf_dir), CAP).withColumn("idf", F.round("idf", 6))
 
 
 @query(O.select(IDX, "SELECT country, id, round(norm, 6) AS norm FROM rk_l"))
 def c5_length_norm(spark, sf_dir):
-    return retrieve.length_norm(retrieve.indexed(_clean_docs(spark, sf_dir), 50)).withColumn("norm", F.round("norm", 6))
+    return retrieve.length_norm(retrieve.indexed(_clean_docs(spark, sf_dir), CAP)).withColumn("norm", F.round("norm", 6))
 
 
 @query(O.select(IDX, "SELECT country, query, token FROM rk_r"))
 def c6_rarest_r(spark, sf_dir):
     _, noisy = sides(spark, sf_dir)
     asked = retrieve._docs(retrieve.typed_signature(noisy), F.col("sig"))
-    return retrieve.rarest(asked, retrieve.doc_freq(_clean_docs(spark, sf_dir), 50), 5).select("country", "query", "token")
+    return retrieve.rarest(asked, retrieve.doc_freq(_clean_docs(spark, sf_dir), CAP), RAREST).select("country", "query", "token")
 
 
 @query(O.select(IDX, "SELECT country, query, id, score, rn FROM rk WHERE rn <= 4"))
 def c8_token_join_topk(spark, sf_dir):
     _, noisy = sides(spark, sf_dir)
     asked = retrieve._docs(retrieve.typed_signature(noisy), F.col("sig"))
-    return retrieve.top_k(retrieve.token_join(asked, _clean_docs(spark, sf_dir), 50, 5), 4).select("country", "query", "id", "score", "rn")
+    return retrieve.search(asked, _clean_docs(spark, sf_dir), CAP, RAREST, 4).select("country", "query", "id", "score", "rn")
 
 
 @query(O.select(O.REV, "SELECT country, source, s1_id, cand_id, block_score, rn FROM rev"))
@@ -296,8 +325,7 @@ def c9_reverse_topk_documents(spark, sf_dir):
     """The nearest of every fifth document for all others, by their whole texts."""
     sig = F.array_distinct(N.tokens(N.norm_text(N.text("text"))))
     docs = stored(spark, sf_dir, "docsig", lambda: X.table(spark, sf_dir, "documents").select(F.col("lang").alias("country"), F.col("doc_id").alias("id"), sig.alias("sig")))
-    found = retrieve.token_join(docs.where(F.col("id") % 5 != 0), docs.where(F.col("id") % 5 == 0), retrieve.Reverse().maxdf, retrieve.Reverse().rarest)
-    return retrieve.top_k(found, 3).select("country", "query", "id", "score", "rn")
+    return retrieve.search(docs.where(F.col("id") % 5 != 0), docs.where(F.col("id") % 5 == 0), CAP, RAREST, 3)
 
 
 @query(O.select(O.REG, "SELECT entity_id FROM (SELECT entity_id, row_number() OVER (PARTITION BY country ORDER BY entity_id) - 1 AS n FROM reg WHERE source = 2) WHERE n % 4 = 0"))
@@ -326,8 +354,7 @@ for _n, (_name, _sig, _addr, _maxdf, _k) in enumerate((("c14_forward_addr_pass",
     def _forward(spark, sf_dir, sig=_sig, addr=_addr, maxdf=_maxdf, k=_k):
         clean, noisy = sides(spark, sf_dir)
         noisy = noisy.where(F.size("addr_tok") > 0) if addr else noisy
-        found = retrieve.top_k(retrieve.token_join(retrieve._docs(clean, sig()), retrieve._docs(noisy, sig()), maxdf, 24), k)
-        return found.select("country", F.col("query").alias("s1_id"), F.col("id").alias("cand_id"), F.col("score").alias("block_score"))
+        return retrieve.forward_pass(clean, noisy, sig(), maxdf, 24, k)
 
 
 UNION = " UNION ALL ".join(f"SELECT *, {n} AS pass_id FROM ({body})" for n, (_, body) in enumerate(PASSES, 1))
@@ -396,25 +423,28 @@ def d7_outer_join(spark, sf_dir):
     return high.join(low, "s1_id", "full_outer").select("s1_id", F.coalesce("n_high", F.lit(0)).alias("n_high"), F.coalesce("n_low", F.lit(0)).alias("n_low"))
 
 
-GRID = "grid AS (SELECT * FROM (VALUES (0.2), (0.35), (0.5), (0.65), (0.8), (0.92)) AS t(thr0), (VALUES (0.0), (0.3), (0.5), (0.7)) AS r(rel0)), g AS (SELECT CAST(thr0 AS DOUBLE) AS thr, CAST(rel0 AS DOUBLE) AS rel FROM grid)"
-THRESHOLDS, FLOORS = [0.2, 0.35, 0.5, 0.65, 0.8, 0.92], [0.0, 0.3, 0.5, 0.7]
+FLOORS = [0.0, 0.3, 0.5, 0.7]
+#: Thresholds of the one-threshold sweep, of the rule sweep, of the evaluation and of the blend.
+SWEEP, RULE_SWEEP, EVALUATION, BLEND = metrics.grid(0.05, 0.95, 0.01), metrics.grid(0.2, 0.9, 0.02), metrics.grid(0.2, 0.92, 0.02), metrics.grid(0.3, 0.9, 0.02)
+WEIGHTS = (0.0, 0.2, 0.3, 0.4, 0.5, 0.6, 0.8, 1.0)
 
 
-def _sweep_sql(pool: str, ents: str) -> str:
-    f = O.f_beta("coalesce(pred, 0)", "n_true", "coalesce(tp, 0)")
-    return O.select(f"{O.SCORED}, {O.ENTITIES}, {GRID}, {pool}, b AS (SELECT s1_id, max(score) AS best FROM scored GROUP BY s1_id), c AS (SELECT thr, rel, s1_id, count(*) AS pred, sum(y) AS tp FROM pool JOIN b USING (s1_id) JOIN g ON score >= thr AND score >= rel * best GROUP BY ALL)", f"SELECT g.thr, g.rel, round(avg({f}), 6) AS macro_f FROM g CROSS JOIN ({ents}) AS e LEFT JOIN c ON c.thr = g.thr AND c.rel = g.rel AND c.s1_id = e.s1_id GROUP BY g.thr, g.rel")
+def _grid_sql(thresholds: list[float], floors: list[float]) -> str:
+    return f"g AS (SELECT CAST(t AS DOUBLE) AS thr, CAST(r AS DOUBLE) AS rel FROM (SELECT unnest({thresholds}) AS t), (SELECT unnest({floors}) AS r))"
 
 
-EXCLUSIVE = "pool AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, cand_id ORDER BY score DESC, s1_id) AS rn FROM scored) WHERE rn = 1)"
+def _sweep_sql(pool: str, ents: str, thresholds: list[float], floors: list[float]) -> str:
+    f = O.f_beta("coalesce(pred, 0)", "n_true", "coalesce(tp, 0)")
+    return O.select(f"{O.SCORED}, {O.ENTITIES}, {_grid_sql(thresholds, floors)}, {pool}, b AS (SELECT s1_id, max(score) AS best FROM scored GROUP BY s1_id), c AS (SELECT thr, rel, s1_id, count(*) AS pred, sum(y) AS tp FROM pool JOIN b USING (s1_id) JOIN g ON score >= thr AND score >= rel * best GROUP BY ALL)", f"SELECT g.thr, g.rel, round(avg({f}), 6) AS macro_f FROM g CROSS JOIN ({ents}) AS e LEFT JOIN c ON c.thr = g.thr AND c.rel = g.rel AND c.s1_id = e.s1_id GROUP BY g.thr, g.rel")
 
 
-def _swept(spark, sf_dir, **kw):
-    return metrics.sweep(entities(spark, sf_dir), X.scored(spark, sf_dir), metrics.rule_grid(spark, THRESHOLDS, FLOORS), **kw)
+ALL_PAIRS = "pool AS (SELECT * FROM scored)"
+EXCLUSIVE = "pool AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, cand_id ORDER BY score DESC, s1_id) AS rn FROM scored) WHERE rn = 1)"
 
 
-@query(_sweep_sql("pool AS (SELECT * FROM scored)", "SELECT * FROM ents"))
+@query(_sweep_sql(ALL_PAIRS, "SELECT * FROM ents", EVALUATION, FLOORS))
 def d8_rule_grid(spark, sf_dir):
-    return _swept(spark, sf_dir)
+    return metrics.sweep(entities(spark, sf_dir), X.scored(spark, sf_dir), EVALUATION, FLOORS)
 
 
 # features --------------------------------------------------------------------------------------------------------
@@ -510,35 +540,62 @@ def g8_novel_edit_sim(spark, sf_dir):
 
 # models ----------------------------------------------------------------------------------------------------------
 
-PLAIN = [n for n in features.STAGE1 if n not in ("fuzz_name_set", "fuzz_name_core", "fuzz_addr_sort", "skel_ratio", "nospace_ratio")]
-
-
 def _labelled_pairs(spark, sf_dir):
     clean, noisy, found = candidates(spark, sf_dir)
-    rows = features.stage1(found.drop("rn").withColumn("pass_id", F.lit(1)), clean, noisy, False)
-    return owned(rows, noisy)[0].withColumn("entity", F.substring("s1_id", 4, 20).cast("bigint")), clean
+    make = lambda: owned(features.stage1(found.drop("rn").withColumn("pass_id", F.lit(1)), clean, noisy), noisy)[0].withColumn("entity", F.substring("s1_id", 4, 20).cast("bigint")).withColumn("part", metrics.split_of(F.col("entity")))
+    return stored(spark, sf_dir, "labelled", make, "country", "source"), clean
+
+
+_models: dict[tuple[str, str], dict] = {}
+
+
+def trained(spark, sf_dir) -> dict:
+    """Both stages' models over all their features, and the rows that they were made from; once a session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _models:
+        rows, clean = _labelled_pairs(spark, sf_dir)
+        stop = metrics.stop_entities(rows.where(F.col("part") == "validation")).withColumn("stop", F.lit(True))
+        fitting = lambda r: r.join(stop, "s1_id", "left").withColumn("stop", F.coalesce("stop", F.lit(False))).where((F.col("part") == "fit") | F.col("stop"))
+        first = model.train(C.scratch(fitting(rows), "fit"), features.STAGE1, trees=20, depth=5, stop="stop")
+        folded = model.out_of_fold(C.scratch(rows.where(F.col("part") != "rest"), "folds"), features.STAGE1, trees=10, depth=5)
+        full = C.scratch(features.stage2(folded, clean), "stage2")
+        second = model.train(C.scratch(fitting(full), "fit2"), model.STAGE2_NAMES, trees=20, depth=5, stop="stop")
+        _models[key] = {"first": first, "second": second, "rows": rows, "full": full}
+    return _models[key]
 
 
 @query()
 def h1_stage1_scores(spark, sf_dir):
     """Scores of a model that was trained on the fitting entities, early stopping on every fifth validation entity."""
-    rows, _ = _labelled_pairs(spark, sf_dir)
-    rows = rows.withColumn("part", metrics.split_of(F.col("entity"))).persist()
-    stop = metrics.stop_entities(rows.where(F.col("part") == "validation")).withColumn("stop", F.lit(True))
-    fit = rows.join(stop, "s1_id", "left").withColumn("stop", F.coalesce("stop", F.lit(False))).where((F.col("part") == "fit") | F.col("stop"))
-    m = model.train(fit, PLAIN, trees=8, depth=4, stop="stop")
-    return model.score(rows, m, PLAIN, "score").select(*KEY, "score", "y")
+    m = trained(spark, sf_dir)
+    return model.score(m["rows"], m["first"], features.STAGE1, "score").select(*KEY, "score", "y")
 
 
 @query()
 def h4_two_stage_scores(spark, sf_dir):
     """Second-stage scores over out-of-fold first ones."""
-    rows, clean = _labelled_pairs(spark, sf_dir)
-    first = model.out_of_fold(rows.persist(), PLAIN, trees=4, depth=4)
-    full = features.stage2(first, clean, edit=False).persist()
-    names = [*PLAIN, "score1", *[n for n in features.STAGE2 if n != "novel_edit_sim"]]
-    m = model.train(full, names, trees=5, depth=4)
-    return model.score(full, m, names, "score").select(*KEY, "score1", "score", "y")
+    m = trained(spark, sf_dir)
+    return model.score(m["full"], m["second"], model.STAGE2_NAMES, "score").select(*KEY, "score1", "score", "y")
+
+
+@query()
+def h6_feature_importance(spark, sf_dir):
+    return model.importance_table(spark, trained(spark, sf_dir)["second"], model.STAGE2_NAMES)
+
+
+@query(O.select(O.REV, "SELECT s1_id, cand_id, round(len(list_intersect(string_split(a.name_norm, ' '), string_split(b.name_norm, ' '))) / greatest(len(list_distinct(string_split(a.name_norm, ' '))), 1), 6) AS score FROM rev JOIN norm AS a ON a.entity_id = s1_id JOIN norm AS b ON b.entity_id = cand_id"))
+def h8_pair_scorer(spark, sf_dir):
+    """Any scorer of pairs of texts, here the share of the left words that the right has, in batches."""
+
+    def load():
+        def score(left, right):
+            return [len(set(a.split(" ")) & set(b.split(" "))) / max(len(set(a.split(" "))), 1) for a, b in zip(left, right, strict=True)]
+
+        return score
+
+    clean, noisy, found = candidates(spark, sf_dir)
+    both = found.join(clean.select(F.col("entity_id").alias("s1_id"), F.col("name_norm").alias("a")), "s1_id").join(noisy.select(F.col("entity_id").alias("cand_id"), F.col("name_norm").alias("b")), "cand_id")
+    return both.select("s1_id", "cand_id", F.round(model.pair_scorer(load)("a", "b"), 6).alias("score"))
 
 
 @query("SELECT c_custkey AS entity, ((CAST(c_custkey AS BIGINT) * 2654435761 & 4294967295) >> 7) % 5 AS fold FROM customer")
@@ -566,15 +623,15 @@ def h11_blend(spark, sf_dir):
     return X.scored(spark, sf_dir).select("s1_id", "cand_id", F.round(decide.blend(F.col("score"), 1 - F.col("score"), 0.4), 6).alias("blended"))
 
 
-TUNE = " UNION ALL ".join(f"SELECT {w} AS w, s1_id, y, source, cand_id, round(CASE WHEN score BETWEEN 0.2 AND 0.9 THEN {1 - w} * score + {w} * (1 - score) ELSE score END, 6) AS score FROM scored" for w in (0.25, 0.5))
+TUNE = " UNION ALL ".join(f"SELECT CAST({w} AS DOUBLE) AS w, s1_id, y, source, cand_id, round(CASE WHEN score BETWEEN 0.2 AND 0.9 THEN {1 - w} * score + {w} * (1 - score) ELSE score END, 6) AS score FROM scored" for w in WEIGHTS)
 
 
-@query(O.select(f"{O.SCORED}, {O.ENTITIES}, {GRID}, pool AS ({TUNE}), b AS (SELECT w, s1_id, max(score) AS best FROM pool GROUP BY ALL), c AS (SELECT w, thr, rel, s1_id, count(*) AS pred, sum(y) AS tp FROM pool JOIN b USING (w, s1_id) JOIN g ON score >= thr AND score >= rel * best GROUP BY ALL)", f"SELECT CAST(v.w AS DOUBLE) AS w, g.thr, g.rel, round(avg({O.f_beta('coalesce(pred, 0)', 'n_true', 'coalesce(tp, 0)')}), 6) AS macro_f FROM (VALUES (0.25), (0.5)) AS v(w) CROSS JOIN g CROSS JOIN ents AS e LEFT JOIN c ON c.w = v.w AND c.thr = g.thr AND c.rel = g.rel AND c.s1_id = e.s1_id GROUP BY v.w, g.thr, g.rel"))
+@query(O.select(f"{O.SCORED}, {O.ENTITIES}, {_grid_sql(BLEND, FLOORS[:3])}, pool AS ({TUNE}), b AS (SELECT w, s1_id, max(score) AS best FROM pool GROUP BY ALL), c AS (SELECT w, thr, rel, s1_id, count(*) AS pred, sum(y) AS tp FROM pool JOIN b USING (w, s1_id) JOIN g ON score >= thr AND score >= rel * best GROUP BY ALL)", f"SELECT v.w, g.thr, g.rel, round(avg({O.f_beta('coalesce(pred, 0)', 'n_true', 'coalesce(tp, 0)')}), 6) AS macro_f FROM (SELECT CAST(unnest({list(WEIGHTS)}) AS DOUBLE) AS w) AS v CROSS JOIN g CROSS JOIN ents AS e LEFT JOIN c ON c.w = v.w AND c.thr = g.thr AND c.rel = g.rel AND c.s1_id = e.s1_id GROUP BY v.w, g.thr, g.rel"))
 def h12_tune_blend(spark, sf_dir):
     out = None
-    for w in (0.25, 0.5):
+    for w in WEIGHTS:
         p = X.scored(spark, sf_dir).withColumn("score", F.round(decide.blend(F.col("score"), 1 - F.col("score"), w), 6))
-        one = metrics.sweep(entities(spark, sf_dir), p, metrics.rule_grid(spark, THRESHOLDS, FLOORS)).select(F.lit(w).alias("w"), "*")
+        one = metrics.sweep(entities(spark, sf_dir), p, BLEND, FLOORS[:3]).select(F.lit(w).alias("w"), "*")
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -608,11 +665,12 @@ def i6_merge_source_lists(spark, sf_dir):
 
 @query()
 def i7_predict(spark, sf_dir):
-    """Scores, rule, one owner, and a list for each entity."""
-    scored = h1_stage1_scores(spark, sf_dir)
-    chosen = decide.exclusive(decide.rule(scored, decide.Rule(0.5)))
-    clean, _ = sides(spark, sf_dir)
-    return decide.entity_lists(clean.select(F.col("entity_id").alias("s1_id")), chosen)
+    """The batch from raw rows to lists: candidates, two stages, rule, one owner; from what it wrote."""
+    m = trained(spark, sf_dir)
+    linker = link.Linker(m["first"], m["second"], decide.Rule(0.5, 0.3))
+    staging = link.predict(linker, C.Catalog(C.work_folder(spark, "project")), "test", X.registry(spark, sf_dir))
+    lists = C.StructType([C.StructField("source1_entity_id", C.StringType()), C.StructField("matched_entity_ids", C.StringType())])
+    return C.scan_tsv(spark, f"{staging}/matching", lists)
 
 
 RULES = [("A", 0.6, 0.5, 0), ("B", 0.7, 0.0, 2), ("C", 0.5, 0.8, 1)]
@@ -647,19 +705,24 @@ def k2_count_per_entity(spark, sf_dir):
     return metrics.entity_counts(kept(spark, sf_dir))
 
 
-@query(_sweep_sql(EXCLUSIVE, "SELECT * FROM ents"))
+@query(_sweep_sql(EXCLUSIVE, "SELECT * FROM ents", SWEEP, [0.0]))
 def k3_threshold_sweep(spark, sf_dir):
-    return _swept(spark, sf_dir, one_owner=True)
+    return metrics.sweep(entities(spark, sf_dir), X.scored(spark, sf_dir), SWEEP, [0.0], one_owner=True)
 
 
-@query(_sweep_sql("pool AS (SELECT * FROM scored)", "SELECT * FROM ents WHERE s1_id IN (SELECT s1_id FROM scored)"))
+@query(_sweep_sql(ALL_PAIRS, "SELECT * FROM ents WHERE s1_id IN (SELECT s1_id FROM scored)", RULE_SWEEP, FLOORS))
 def k4_rule_sweep(spark, sf_dir):
-    return _swept(spark, sf_dir, only_scored=True)
+    return metrics.sweep(entities(spark, sf_dir), X.scored(spark, sf_dir), RULE_SWEEP, FLOORS, only_scored=True)
+
+
+COUNTRY = "CASE s1_id % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'C' END"
 
 
-@query(f"SELECT * FROM ({_sweep_sql('pool AS (SELECT * FROM scored)', 'SELECT * FROM ents')}) ORDER BY macro_f DESC, thr, rel LIMIT 1")
+@query(" UNION ALL ".join(f"SELECT * FROM (SELECT '{c}' AS country, * FROM ({_sweep_sql(ALL_PAIRS, f'SELECT * FROM ents WHERE {where}', EVALUATION, FLOORS)}) ORDER BY macro_f DESC, thr, rel LIMIT 1)" for c, where in (("ALL", "true"), ("A", f"{COUNTRY} = 'A'"), ("B", f"{COUNTRY} = 'B'"), ("C", f"{COUNTRY} = 'C'"))))
 def k5_best_rule(spark, sf_dir):
-    return metrics.best_rule(_swept(spark, sf_dir))
+    """The best rule over all entities and for each country."""
+    e = entities(spark, sf_dir).withColumn("country", F.expr(COUNTRY))
+    return metrics.best_rule(metrics.sweep(e, X.scored(spark, sf_dir), EVALUATION, FLOORS, by="country"), "country").select("country", "thr", "rel", "macro_f")
 
 
 TRUTH = f"{O.REG}, truth AS (SELECT c.entity_id AS source1_entity_id, coalesce(string_agg(n.entity_id, ',' ORDER BY n.entity_id), '') AS matched_entity_ids FROM (SELECT * FROM reg WHERE source = 1) AS c LEFT JOIN (SELECT * FROM reg WHERE source > 1) AS n ON n.owner = c.entity_id GROUP BY c.entity_id)"
@@ -696,7 +759,7 @@ def k9_recall_micro_macro(spark, sf_dir):
     return metrics.recall_micro_macro(found, owned(found, noisy)[1])
 
 
-@query(O.select(O.REV + ", a AS (SELECT cand_id, min(CASE WHEN s1_id = owner THEN rn END) AS place FROM rev GROUP BY cand_id)", f"SELECT k, round(avg(CASE WHEN place <= k THEN 1 ELSE 0 END), 6) AS recall FROM a, (SELECT unnest({list(metrics.KS)}) AS k) GROUP BY k"))
+@query(O.select(O.REV + ", a AS (SELECT t.entity_id, count(r.s1_id) AS hits, min(CASE WHEN r.s1_id = t.owner THEN rn END) AS place FROM sig AS t LEFT JOIN rev AS r ON r.cand_id = t.entity_id WHERE t.source > 1 GROUP BY t.entity_id)", f"SELECT k, round(count(*) FILTER (place <= k) / count(*) FILTER (hits > 0), 6) AS recall, round(count(*) FILTER (place <= k) / count(*), 6) AS recall_all FROM a, (SELECT unnest({list(metrics.KS)}) AS k) GROUP BY k"))
 def k10_recall_at_k(spark, sf_dir):
     _, noisy, found = candidates(spark, sf_dir)
     return metrics.recall_at_k(found, owned(found, noisy)[1])
@@ -707,25 +770,49 @@ def k11_pair_union(spark, sf_dir):
     return retrieve.forward(*sides(spark, sf_dir)).select("s1_id", "cand_id").distinct()
 
 
-K12 = [(50, 5), (200, 12), (1000, 24)]
+#: Caps and depths of the passes: address, name, address prefixes.
+K12 = [(2000, 20, 2000, 10, 0, 0), (2000, 20, 20000, 10, 0, 0), (2000, 20, 2000, 10, 2000, 10), (2000, 20, 20000, 10, 5000, 10), (5000, 24, 20000, 12, 5000, 12)]
+K12_SIDE = {1: ("addr_tok", "source > 1 AND len(addr_tok) > 0"), 2: ("name_core", "source > 1"), 3: (PREFIX, "source > 1 AND len(addr_tok) > 0")}
+K12_PASSES = sorted({(n, row[2 * n - 2], row[2 * n - 1]) for row in K12 for n in (1, 2, 3) if row[2 * n - 1]})
 
 
-@query()
+def _k12_sql() -> str:
+    ctes, name = [O.SIG], {}
+    for n, cap, k in K12_PASSES:
+        name[n, cap, k] = f"p{n}_{cap}_{k}"
+        made, body = _pass(name[n, cap, k], *K12_SIDE[n], cap, k)
+        ctes.append(f"{made},\n{name[n, cap, k]}_o AS ({body})")
+    rows = []
+    for at, row in enumerate(K12, 1):
+        own = [(n, name[n, row[2 * n - 2], row[2 * n - 1]]) for n in (1, 2, 3) if row[2 * n - 1]]
+        rows += [f"SELECT {at} AS grid, {n} AS pass_id, s1_id, cand_id FROM {t}_o" for n, t in own]
+        rows.append(f"SELECT DISTINCT {at}, 0, s1_id, cand_id FROM (" + " UNION ALL ".join(f"SELECT s1_id, cand_id FROM {t}_o" for _, t in own) + ")")
+    return O.select(",\n".join(ctes), f"SELECT grid, pass_id, count(*) AS pairs, CAST(sum(CASE WHEN owner = s1_id THEN 1 ELSE 0 END) AS BIGINT) AS found FROM ({' UNION ALL '.join(rows)}) JOIN sig ON entity_id = cand_id GROUP BY grid, pass_id")
+
+
+@query(_k12_sql())
 def k12_forward_grid(spark, sf_dir):
-    """Pairs and recall of the forward passes for several caps and query lengths."""
+    """Pairs and true pairs of each forward pass, and of their union (pass 0), for five rows of caps and depths."""
     clean, noisy = sides(spark, sf_dir)
-    truth = noisy.select(F.col("owner").alias("s1_id"), F.col("entity_id").alias("cand_id"))
-    out = None
-    for cap, r in K12:
-        p = retrieve.forward(clean, noisy, retrieve.Forward(maxdf_addr=cap, maxdf_name=cap, maxdf_prefix=cap, rarest=r))
-        row = metrics.labelled(truth, p).agg(F.lit(cap).alias("cap"), F.lit(r).alias("rarest"), F.sum("y").alias("found"), F.count("*").alias("n"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    made = {}
+    for n, cap, k in K12_PASSES:
+        side, sig = {p: (s, c) for p, s, c, _, _ in retrieve.passes(noisy)}[n]
+        made[n, cap, k] = retrieve.forward_pass(clean, side, sig, cap, retrieve.Forward().rarest, k).select("s1_id", "cand_id")
+    own, out = noisy.select(F.col("entity_id").alias("cand_id"), "owner"), None
+    for at, row in enumerate(K12, 1):
+        found = [(n, made[n, row[2 * n - 2], row[2 * n - 1]]) for n in (1, 2, 3) if row[2 * n - 1]]
+        union = found[0][1]
+        for _, p in found[1:]:
+            union = union.unionByName(p)
+        for n, p in [*found, (0, union.distinct())]:
+            p = p.select(F.lit(at).alias("grid"), F.lit(n).alias("pass_id"), "s1_id", "cand_id")
+            out = p if out is None else out.unionByName(p)
+    return out.join(own, "cand_id").groupBy("grid", "pass_id").agg(F.count("*").alias("pairs"), F.count_if(F.col("owner") == F.col("s1_id")).alias("found"))
 
 
 # diagnosis -------------------------------------------------------------------------------------------------------
 
-NOISE = "CASE WHEN (b.name_flags & 1) > 0 THEN 'indic script' WHEN (b.name_flags & 4) > 0 THEN 'url-like name' WHEN len(b.addr_tok) = 0 THEN 'empty address' WHEN len(list_intersect(a.name_core, b.name_core)) = 0 THEN 'alias name' WHEN regexp_matches(b.business_name, '[A-Z]') AND NOT regexp_matches(b.business_name, '[a-z]') THEN 'allcaps' ELSE 'clean-ish' END"
+NOISE = "CASE WHEN (b.name_flags & 1) > 0 THEN 'indic script' WHEN (b.name_flags & 4) > 0 THEN 'url-like name' WHEN len(b.addr_tok) = 0 THEN 'empty address' WHEN len(list_intersect(a.name_core, b.name_core)) = 0 THEN 'alias name' WHEN upper(b.business_name) = b.business_name AND lower(b.business_name) <> b.business_name THEN 'allcaps' ELSE 'clean-ish' END"
 NOISY = f"{O.NORM}, noise AS (SELECT b.entity_id, b.source, b.country, {NOISE} AS noise FROM norm AS b JOIN norm AS a ON a.entity_id = b.owner WHERE b.source > 1)"
 
 
@@ -761,7 +848,7 @@ def l3_noise_crosstab(spark, sf_dir):
     return diagnose.crosstab(noise(spark, sf_dir), "noise", "country")
 
 
-CAUSE = f"""{O.SIG}, i AS (SELECT country, token FROM (SELECT country, unnest(sig) AS token FROM sig WHERE source = 1) GROUP BY ALL HAVING count(*) <= 50),
+CAUSE = f"""{O.SIG}, i AS (SELECT country, token FROM (SELECT country, unnest(sig) AS token FROM sig WHERE source = 1) GROUP BY ALL HAVING count(*) <= {CAP}),
 m AS (SELECT b.country, b.entity_id, list_intersect(a.sig, b.sig) AS shared FROM sig AS b JOIN sig AS a ON a.entity_id = b.owner WHERE b.source > 1),
 x AS (SELECT entity_id, count(*) AS n FROM (SELECT country, entity_id, unnest(shared) AS token FROM m) JOIN i USING (country, token) GROUP BY entity_id)"""
 
@@ -769,21 +856,22 @@ x AS (SELECT entity_id, count(*) AS n FROM (SELECT country, entity_id, unnest(sh
 @query(O.select(CAUSE, "SELECT m.entity_id, CASE WHEN len(shared) = 0 THEN 'no shared token' WHEN coalesce(x.n, 0) = 0 THEN 'shared but unindexed' ELSE 'outranked' END AS cause FROM m LEFT JOIN x USING (entity_id)"))
 def l4_miss_cause(spark, sf_dir):
     clean, noisy = (retrieve.typed_signature(s) for s in sides(spark, sf_dir))
-    df = retrieve.doc_freq(retrieve._docs(clean, F.col("sig")), 50).select("country", "token", F.lit(1).alias("known"))
+    df = retrieve.doc_freq(retrieve._docs(clean, F.col("sig")), CAP).select("country", "token", F.lit(1).alias("known"))
     both = noisy.join(clean.select(F.col("entity_id").alias("owner"), F.col("sig").alias("own")), "owner").select("country", "entity_id", F.array_intersect("sig", "own").alias("shared"))
     kept = both.select("country", "entity_id", F.explode("shared").alias("token")).join(df, ["country", "token"]).groupBy("entity_id").agg(F.collect_list("token").alias("indexed"))
     return both.join(kept, "entity_id", "left").select("entity_id", diagnose.miss_cause(F.col("shared"), F.coalesce("indexed", F.array().cast("array<string>"))).alias("cause"))
 
 
-@query(O.select(O.REG, f"SELECT entity_id, CASE WHEN business_address = '' THEN 'empty address' WHEN regexp_matches(business_name, '{vocab.INDIC}') THEN 'indic script' WHEN regexp_matches(business_name, '(?i){vocab.URL_NOISE}') THEN 'url-like name' WHEN regexp_matches(business_name, '[A-Z]') AND NOT regexp_matches(business_name, '[a-z]') THEN 'allcaps' ELSE 'other' END AS noise FROM reg"))
+@query(O.select(O.REG, f"SELECT entity_id, CASE WHEN business_address = '' THEN 'empty address' WHEN regexp_matches(business_name, '{vocab.INDIC}') THEN 'indic script' WHEN regexp_matches(business_name, '(?i){vocab.URL_NOISE}') THEN 'url-like name' WHEN upper(business_name) = business_name AND lower(business_name) <> business_name THEN 'allcaps' ELSE 'other' END AS noise FROM reg"))
 def l5_noise_of(spark, sf_dir):
     return X.registry(spark, sf_dir).select("entity_id", diagnose.noise_of(F.col("business_name"), F.col("business_address")).alias("noise"))
 
 
-@query(O.select(RETRIEVED + ", excl AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, cand_id ORDER BY score DESC, s1_id) AS rn FROM s WHERE score >= 0.8) WHERE rn = 1)", "SELECT t.source, t.s1_id, t.cand_id, CASE WHEN s.score IS NULL THEN 'never_a_candidate' WHEN s.score < 0.8 THEN 'below_threshold' ELSE 'taken_by_another_s1' END AS reason FROM t LEFT JOIN s ON s.s1_id = t.s1_id AND s.cand_id = t.cand_id WHERE NOT EXISTS (SELECT 1 FROM excl AS x WHERE x.s1_id = t.s1_id AND x.cand_id = t.cand_id)"))
+@query(O.select(RETRIEVED + ", ruled AS (SELECT * FROM (SELECT *, max(score) OVER (PARTITION BY s1_id) AS best, row_number() OVER (PARTITION BY s1_id ORDER BY score DESC, source, cand_id) AS place FROM s) WHERE score >= 0.6 AND score >= 0.9 * best AND place <= 2), excl AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, cand_id ORDER BY score DESC, s1_id) AS rn FROM ruled) WHERE rn = 1)", "SELECT t.source, t.s1_id, t.cand_id, CASE WHEN s.score IS NULL THEN 'never_a_candidate' WHEN s.score < 0.6 THEN 'below_threshold' WHEN r.s1_id IS NULL THEN 'below_floor_or_cap' ELSE 'taken_by_another_s1' END AS reason FROM t LEFT JOIN s ON s.s1_id = t.s1_id AND s.cand_id = t.cand_id LEFT JOIN ruled AS r ON r.s1_id = t.s1_id AND r.cand_id = t.cand_id WHERE NOT EXISTS (SELECT 1 FROM excl AS x WHERE x.s1_id = t.s1_id AND x.cand_id = t.cand_id)"))
 def l6_fn_reason(spark, sf_dir):
     s, truth = retrieved(spark, sf_dir)
-    return diagnose.fn_reason(truth, s, decide.exclusive(decide.rule(s, decide.Rule(0.8))), 0.8)
+    ruled = decide.rule(s, decide.Rule(0.6, 0.9, 2))
+    return diagnose.fn_reason(truth, s, ruled, decide.exclusive(ruled), 0.6)
 
 
 @query(O.select(LISTS + ", t AS (SELECT source, cand_id, min(s1_id) AS true_owner FROM scored WHERE y = 1 GROUP BY ALL)", "SELECT x.source, x.s1_id, x.cand_id, true_owner FROM excl AS x LEFT JOIN t USING (source, cand_id) WHERE true_owner IS NULL OR true_owner <> x.s1_id"))
@@ -838,10 +926,7 @@ def l12_best_block_per_cand(spark, sf_dir):
     return diagnose.best_candidate(candidates(spark, sf_dir)[2]).select("country", "source", "s1_id", "cand_id", "block_score")
 
 
-ASCII_PATTERNS = {k: p for k, p in vocab.FRENCH.items() if k != "allee"}
-
-
-@query(" UNION ALL ".join(f"SELECT {O.q(k)} AS pattern, CAST(sum(len(regexp_extract_all(lower(business_address || ' ' || business_name), {O.q(p)}))) AS BIGINT) AS n FROM reg" for k, p in ASCII_PATTERNS.items()).join((f"WITH {O.REG}\n", "")))
+@query(" UNION ALL ".join(f"SELECT {O.q(k)} AS pattern, CAST(sum(len(regexp_extract_all(lower(business_address || ' ' || business_name), {O.q(p)}))) AS BIGINT) AS n FROM reg" for k, p in vocab.FRENCH.items()).join((f"WITH {O.REG}\n", "")))
 def l13_pattern_freq(spark, sf_dir):
     r = X.registry(spark, sf_dir).select(F.concat_ws(" ", "business_address", "business_name").alias("t"))
-    return diagnose.pattern_counts(r, "t", ASCII_PATTERNS)
+    return diagnose.pattern_counts(r, "t", vocab.FRENCH)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -110,9 +110,44 @@ def package(files: dict[str, str], target: str, required: tuple[str, ...]) -> st
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share: under spark.checkpoint.dir, or a temporary one where that is unset (local runs)."""
+    """A new folder that driver and executors share: under spark.checkpoint.dir, or a temporary one where that is unset in local mode (tests)."""
     import tempfile
     import uuid
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lakeknot-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="lakeknot-")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+#: Folders that `scratch` has written and not yet deleted.
+_scratch: dict[str, SparkSession] = {}
+
+
+def scratch(rows: DataFrame, name: str) -> DataFrame:
+    """rows written once to a work folder and read back: they are made a single time, and lost executors don't make them again."""
+    path = work_folder(rows.sparkSession, name)
+    _scratch[path] = rows.sparkSession
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def drop_scratch() -> None:
+    """Deletes all that `scratch` has written, once no result that reads it is needed any more."""
+    for path, spark in list(_scratch.items()):
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        del _scratch[path]
+
+
+def numbered(rows: DataFrame, *by: str) -> DataFrame:
+    """rows with __row: their number, from 0, in the order of the columns; by a range sort and the sizes of its parts, not in one task."""
+    parts = scratch(rows.orderBy(*by).withColumn("__place", F.monotonically_increasing_id()), "numbered")
+    part, place = F.shiftright("__place", 33), F.col("__place").bitwiseAND((1 << 33) - 1)
+    # a row for each task of the sort
+    sizes = parts.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    return parts.withColumn("__part", part).join(F.broadcast(sizes), "__part").withColumn("__row", F.col("__before") + place).drop("__part", "__before", "__place")
