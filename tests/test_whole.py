@@ -1,9 +1,7 @@
 """Queries take whole tables and whole texts."""
 
-import numpy as np
 import pytest
 
-from lakeknot.llm import media
 from lakeknot.plans import fixtures, queries
 
 
@@ -21,23 +19,6 @@ def test_addr_tokens_of_long_documents(spark, long_docs):
     assert all({"12", "filler", f"tail{k}", f"lastword{k % 2}"} <= rows[k] for k in range(6))
 
 
-def test_fingerprints_of_short_texts(spark):
-    texts = ["", "x", "a short text", "another short text of other words", "Line 1\nLine 2, and so on until here: 192 bytes are not reached"]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    rows = media.fingerprint(media.to_wav(docs)).collect()
-    assert all(len(r["code"]) == len(r["time_ms"]) > 0 for r in rows)
-    assert len({tuple(r["code"]) for r in rows if r["doc_id"] > 1}) == 3
-
-
-def test_every_place_in_a_frame_reaches_a_peak():
-    samples = np.random.default_rng(3).integers(32, 127, 40 * 192).astype(np.uint8)
-    codes = media.peak_pairs(media.peak_bins(samples))[1].tolist()
-    for at in range(192):
-        other = samples.copy()
-        other[at::192] = 255
-        assert media.peak_pairs(media.peak_bins(other))[1].tolist() != codes, at
-
-
 def test_scored_holds_all_pairs(spark, sf_dir):
     orders, lines = (spark.read.parquet(f"{sf_dir}/{t}.parquet").toPandas() for t in ("orders", "lineitem"))
     both = lines.merge(orders, left_on="l_orderkey", right_on="o_orderkey")
