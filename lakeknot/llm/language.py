@@ -27,7 +27,6 @@ DIM = 8
 WIDTHS, FILTERS = (2, 3, 4), 8
 #: Labelled rows of each language that training sees at most, and windows of each.
 SAMPLE, TRAIN_WINDOWS = 800, 5
-SALTS = 64
 EPOCHS, BATCH, RATE, SEED = 10, 32, 0.3, 11
 UND = "und"
 #: Windows that go through the network at once.
@@ -121,10 +120,12 @@ def train(win: np.ndarray, label: np.ndarray, names: list[str]) -> Network:
 
 def fit(docs: DataFrame) -> Network | None:
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (id_mod4() != HELD_OUT))
-    # a language is dealt over SALTS tasks first; at most SAMPLE ids of each are sent to the scan of the texts
-    order = (F.xxhash64("doc_id"), F.col("doc_id"))
-    for keys in (["lang", "salt"], ["lang"]):
-        known = known.withColumn("salt", F.pmod(F.hash("doc_id"), F.lit(SALTS))).withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= SAMPLE)
+    # the SAMPLE least hashes of a language lie, but for a chance below 1e-80, in its first 2 * SAMPLE / n of their range
+    n = known.groupBy(F.col("lang").alias("of")).agg(F.least(F.lit(1.0), 2.0 * SAMPLE / F.count("*")).alias("share"))
+    place = (F.xxhash64("doc_id").cast("double") + 2.0**63) / 2.0**64
+    near = known.join(F.broadcast(n), F.col("lang") == F.col("of")).where(place <= F.col("share"))
+    # at most SAMPLE ids of each language are sent to the scan of the texts
+    known = near.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))).where(F.col("rank") <= SAMPLE)
     chosen = known.select("doc_id", F.col("lang").alias("label"))
 
     def run(batches):
