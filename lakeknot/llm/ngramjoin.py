@@ -45,6 +45,8 @@ LIST = 64
 HOT, HOT_MOST = 8, 1_000_000
 #: Ids up to which the documents that have a candidate are picked out by a broadcast; more are joined by a shuffle.
 IDS_MOST = 2_000_000
+#: Classes of equal sets with 1 / LARGE_MOST of all rows or more have their group sent to the tasks: at most so many.
+LARGE_MOST = 4096
 CHUNK = 1 << 20
 #: Bits that counts leave out; shingles that differ in them alone are counted together, which moves both in the order, no more.
 KEY = np.uint64(24)
@@ -439,17 +441,23 @@ def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFr
 
 
 def _least(small: DataFrame) -> DataFrame:
-    return small.where(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    return small.where(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"))
 
 
 def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs (doc_id, text)."""
     small, found, tables = _joined(docs, words, percent, False)
     star = components(found)
+    of_class = stored(_least(small).join(star.withColumnRenamed("node", "rep"), "rep", "left").select("digest", "rows", F.coalesce("component", "rep").alias("group")))
     discard(*tables)
     release(docs.sparkSession)
-    of_class = _least(small).join(star.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("group"))
-    out = small.join(of_class, "digest", "left")
+    # at most LARGE_MOST classes hold that share of all rows, so they can be sent; no key of the shuffled join is hot then
+    large = F.broadcast(of_class.where(F.col("rows") * LARGE_MOST >= small.count()).select("digest", "group"))
+    full = F.col("doc_id").isNotNull() & (F.col("n") > 0)
+    own = small.where(full)
+    alone = small.where(~full).withColumn("group", F.lit(None).cast("long"))
+    rest = own.join(large.select("digest"), "digest", "left_anti").join(of_class.select("digest", "group"), "digest", "left")
+    out = own.join(large, "digest").unionByName(rest).unionByName(alone)
     group = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("group")).otherwise(F.col("doc_id")))
     return out.select("doc_id", F.col("n").alias("n_shingles"), group.alias("component_id"))
 
