@@ -482,10 +482,10 @@ def e6_fuzzy_features(spark, sf_dir):
     return pairs(spark, sf_dir, fuzzy=True).select(*KEY, *[F.round(c, 6).alias(c) for c in "fuzz_name_set fuzz_name_core fuzz_addr_sort skel_ratio nospace_ratio".split()])
 
 
-@query(O.select(O.SCORED, "SELECT s1_id, cand_id, row_number() OVER (PARTITION BY s1_id ORDER BY score DESC, source, cand_id) AS place, round(max(score) OVER (PARTITION BY s1_id), 6) AS best, round(avg(score) OVER (PARTITION BY s1_id), 6) AS mean FROM scored"))
+@query(O.select(O.SCORED, "SELECT s1_id, cand_id, row_number() OVER (PARTITION BY s1_id ORDER BY score DESC, source, cand_id) AS place, round(max(score) OVER (PARTITION BY s1_id), 6) AS best, round(avg(score) OVER (PARTITION BY s1_id), 12) AS mean FROM scored"))
 def f8_entity_windows(spark, sf_dir):
     own = Window.partitionBy("s1_id")
-    return X.scored(spark, sf_dir).select("s1_id", "cand_id", decide.within().alias("place"), F.round(F.max("score").over(own), 6).alias("best"), F.round(F.avg("score").over(own), 6).alias("mean"))
+    return X.scored(spark, sf_dir).select("s1_id", "cand_id", decide.within().alias("place"), F.round(F.max("score").over(own), 6).alias("best"), F.round(F.avg("score").over(own), 12).alias("mean"))
 
 
 #: A stand-in for the first stage's score that both engines compute alike.
