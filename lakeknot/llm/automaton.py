@@ -34,7 +34,7 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 #: The same for texts in ASCII, by the standard library, which is faster.
 ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
 #: Entries of a worker's word cache before it starts anew, characters of the longest cached word.
-CACHE_ENTRIES, CACHE_CHARS = 500_000, 64
+CACHE_ENTRIES, CACHE_CHARS = 200_000, 64
 #: Entries of the transition table of single words, and of that of many words together.
 TABLE_ENTRIES, ARC_SLOTS = 300_000, 1 << 21
 
