@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from lakeknot.llm import automaton, covertree, graph, idfiles, language, licenses, media, ngramjoin, packing, quality, substrings, wordbpe
@@ -132,7 +133,6 @@ def test_word_encoder():
 
 
 def test_automaton(docs, none):
-    from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(automaton.vocabulary())
     rows = automaton.decode_ids(automaton.encode_texts(docs, automaton.vocabulary()), automaton.vocabulary()).collect()
@@ -175,6 +175,26 @@ def test_automaton_against_merging():
             assert made.encode(word) == ids
 
 
+def test_words_together_are_encoded_as_one_by_one(monkeypatch):
+    """Also with a table of answers so small that its entries displace one another, and a cache that is always full."""
+    r = random.Random(9)
+    words = ["", *["".join(r.choices(" abcdehinorst'é0ß语", k=r.randrange(1, 40))) for _ in range(400)]] * 2
+    raw = [w.encode() for w in words]
+    for slots in (automaton.ARC_SLOTS, 8):
+        monkeypatch.setattr(automaton, "ARC_SLOTS", slots)
+        made = automaton.Codec(automaton.vocabulary())
+        ids, off = made.automaton.encode_all(raw)
+        assert [ids[a:z].tolist() for a, z in zip(off[:-1], off[1:], strict=True)] == [made.automaton.encode(w) for w in raw]
+    assert [x.tolist() for x in made.automaton.encode_all([])] == [[], [0]]
+    monkeypatch.setattr(automaton, "CACHE_ENTRIES", 0)
+    texts = [*words, "x" * 200 + " yes", "<|endoftext|>a<|endoftext|>", "a\x1c b\x0b  c\x85 d"]
+    library = Tokenizer.from_file(automaton.vocabulary())
+    library.no_truncation(), library.no_padding()
+    for part in (texts[:300], texts[300:]):
+        got = [np.frombuffer(x, made.dtype).tolist() for x in made.encode_many(part)]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in part]
+
+
 def test_licenses(docs, none):
     rows = {r["doc_id"]: r for r in licenses.scan(docs).collect()}
     pattern = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
