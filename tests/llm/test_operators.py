@@ -133,7 +133,6 @@ def test_word_encoder():
 
 
 def test_automaton(docs, none):
-
     library = Tokenizer.from_file(automaton.vocabulary())
     rows = automaton.decode_ids(automaton.encode_texts(docs, automaton.vocabulary()), automaton.vocabulary()).collect()
     assert len(rows) == len(TEXTS)
