@@ -17,7 +17,8 @@ the prefix of every set that it links with. Work is skipped by the relations bet
 link with its centre are not compared with each other.
 
 Shuffled data: packed hashes once for the counts, prefixes, pairs, the sets of documents that have a candidate, and
-differences from centres.
+differences from centres. Sets are compared in rounds, each of which sends sets of about half the input's bytes
+(`ROUND`) and drops its shuffles before the next: a document that is in many pairs or stars takes no more disk.
 
 Results for odd rows: null texts and texts without words have an empty set and link with nothing; rows with a null
 id are returned without a group; repeated rows link as equal sets, and so do the texts of rows that share an id; ties
@@ -47,6 +48,8 @@ HOT, HOT_MOST = 8, 1_000_000
 IDS_MOST = 2_000_000
 #: Classes of equal sets with 1 / LARGE_MOST of all rows or more have their group sent to the tasks: at most so many.
 LARGE_MOST = 4096
+#: Share of the input's bytes that the sets of a round may have, and bytes that they always may.
+ROUND, ROUND_LEAST = 0.5, 32 << 20
 CHUNK = 1 << 20
 #: Bits that counts leave out; shingles that differ in them alone are counted together, which moves both in the order, no more.
 KEY = np.uint64(24)
@@ -302,6 +305,24 @@ def _sets(base: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     return base.join(some, "doc_id", "left_semi").mapInArrow(run, "doc_id long, shingles binary")
 
 
+def _rounds(rows: DataFrame, by: str, n, room: int) -> list[DataFrame]:
+    """rows cut by a hash of a column, so that each part's sets (n shingles in a row) have about room bytes."""
+    parts = int(-(-(rows.agg(F.sum(n * 8)).head()[0] or 0) // room))
+    return [rows.where(F.pmod(F.xxhash64(F.lit(parts), by), F.lit(parts)) == k) for k in range(parts)] if parts > 1 else [rows]
+
+
+def _united(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    return out
+
+
+def _ids(rows: DataFrame, *columns: str) -> DataFrame:
+    """doc_id: the documents in these columns of rows, once each; stored."""
+    return stored(_united([rows.select(F.col(c).alias("doc_id")) for c in columns]).distinct())
+
+
 #: Documents of a star that one task compares with as many others.
 BLOCK = 4096
 #: Documents that share at least NEAR of a star's centre are told by their differences from it, others by their sets.
@@ -371,17 +392,24 @@ def star_links(rows: pd.DataFrame, percent: int = PERCENT, every: bool = False)
     return out
 
 
-def _told(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The documents of the long lists (shingle, doc, n) by their differences from a centre; stored.
+def _told(members: DataFrame, known: DataFrame, words: int, percent: int, room: int) -> list[DataFrame]:
+    """The documents of the long lists (shingle, doc, n) by their differences from a centre, in rounds; stored.
 
     A list's centre is the document in the most long lists: copies spend their prefixes on what only they have, what
     they were made from does not. All documents of the lists of a centre form a star and are told by their
     differences from it; those that do not link with it are compared with the others, in blocks, by these alone."""
     often = members.groupBy("doc").agg(F.count("*").alias("k"))
     best = members.join(often, "doc").groupBy("shingle").agg(F.max(F.struct("k", (-F.col("doc")).alias("d"))).alias("p")).select("shingle", (-F.col("p.d")).alias("center"))
-    stars = stored(members.join(best, "shingle").select("center", "doc").distinct())
-    joined = stars.join(sets.select(F.col("doc_id").alias("doc"), F.col("shingles").alias("x")), "doc").join(sets.select(F.col("doc_id").alias("center"), F.col("shingles").alias("o")), "center")
-    told = stored(_differences(joined.select("center", "doc", "x", "o"), percent), "none")
+    stars = stored(members.join(best, "shingle").select("center", "doc", "n").distinct())
+    told = []
+    for part in _rounds(stars, "doc", F.col("n"), room):
+        ids = _ids(part, "doc", "center")
+        sets = _sets(known, ids, words)
+        joined = part.join(sets.select(F.col("doc_id").alias("doc"), F.col("shingles").alias("x")), "doc").join(sets.select(F.col("doc_id").alias("center"), F.col("shingles").alias("o")), "center")
+        told.append(stored(_differences(joined.select("center", "doc", "x", "o"), percent), "none"))
+        discard(ids)
+        del sets, joined
+        release(members.sparkSession)
     discard(stars)
     return told
 
@@ -423,15 +451,18 @@ def _joined(docs: DataFrame, words: int, percent: int, every: bool) -> tuple[Dat
     members = stored(_postings(reps, hot, hot_n, buckets, True))
     discard(reps)
     # the sets of documents with a candidate are made where they are compared; shuffled once, they serve both sides
-    ids = stored(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
-    links = stored(_verified(pairs, _sets(known, ids, words), percent))
-    discard(pairs, ids)
-    release(spark)
-    ids = stored(members.select(F.col("doc").alias("doc_id")).distinct())
-    told = _told(members, _sets(known, ids, words), percent)
-    discard(members, ids)
-    release(spark)
-    return small, links.unionByName(_star_pairs(told, percent, every)), [links, told]
+    room = max(ROUND_LEAST, int(ROUND * input_bytes(docs)))
+    mean = small.where(F.col("n") > 0).agg(F.avg("n")).head()[0] or 0
+    links = []
+    for part in _rounds(pairs, "a", F.lit(mean), room):
+        ids = _ids(part, "a", "b")
+        links.append(stored(_verified(part, _sets(known, ids, words), percent)))
+        discard(ids)
+        release(spark)
+    discard(pairs)
+    told = _told(members, known, words, percent, room)
+    discard(members)
+    return small, _united(links).unionByName(_star_pairs(_united(told), percent, every)), [*links, *told]
 
 
 def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:

@@ -480,3 +480,23 @@ def test_pipeline(spark, sf_dir, docs):
 def test_cut_characters(spark):
     rows = spark.createDataFrame([(bytearray("aé�".encode()),), (bytearray("aé".encode()[:2]),)], "k binary")
     assert [r[0] for r in rows.select(substrings.valid_text(F.col("k"))).collect()] == ["aé�", "a"]
+
+
+def test_sets_are_compared_in_rounds_of_bounded_bytes(spark, monkeypatch):
+    """Links over several rounds are those of one, and no round is sent more than its share of the sets."""
+    import random
+
+    from lakeknot.llm import ngramjoin as J
+
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(4000)}"
+    base = [[word() for _ in range(120)] for _ in range(6)]
+    docs = [(k, " ".join(w if rng.random() > 0.006 else word() for w in base[k % 6])) for k in range(420)]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    whole = sorted(map(tuple, J.links(table, 4, 85).collect()))
+    sent, sets = [], J._sets
+    monkeypatch.setattr(J, "_sets", lambda base, ids, words: sent.append(ids.count()) or sets(base, ids, words))
+    monkeypatch.setattr(J, "ROUND", 0)
+    monkeypatch.setattr(J, "ROUND_LEAST", 100_000)
+    assert sorted(map(tuple, J.links(table, 4, 85).collect())) == whole and whole
+    assert len(sent) > 3 and max(sent) < 320
