@@ -7,7 +7,9 @@ the prefix of every set that it links with. Work is skipped by the relations bet
 * equal sets are one set: only the smallest document of each class is indexed;
 * index lists are cut into blocks of one size range, each in order of places; from a set on, whole blocks out of its
   size range are skipped, and in the others all places from which the need can't be met;
-* lists of at most LIST documents give their pairs, which are checked on the whole sets (64-bit shingle hashes);
+* lists of at most LIST documents give their pairs; those whose parity sketches differ in more bits than two sets that
+  link can are dropped (no link is: a shingle that one set lacks changes one bit), the others are checked on the whole
+  sets (64-bit shingle hashes);
 * longer ones (their shingles and counts are known beforehand) never do. Each has a centre, with which all its
   documents are compared; what links with it takes over its group, and the answers of the others are derived from
   the computed one: two documents share what the centre has, less what either has lost, plus what they have lost or
@@ -16,8 +18,8 @@ the prefix of every set that it links with. Work is skipped by the relations bet
 `links` gives every link between the smallest documents of different sets; `groups` needs connections alone, so that in a star documents which
 link with its centre are not compared with each other.
 
-Shuffled data: packed hashes once for the counts, prefixes, pairs, the sets of documents that have a candidate, and
-differences from centres. Sets are compared in rounds, each of which sends sets of about half the input's bytes
+Shuffled data: packed hashes once for the counts, prefixes and sketches (a 64th to a 32nd of a set's bytes), pairs, the sets
+of documents that have a candidate, and differences from centres. Sets are compared in rounds, each of which sends sets of about half the input's bytes
 (`ROUND`) and drops its shuffles before the next: a document that is in many pairs or stars takes no more disk.
 
 Results for odd rows: null texts and texts without words have an empty set and link with nothing; rows with a null
@@ -166,12 +168,35 @@ def hot_shingles(base: DataFrame, buckets: int, words: int) -> tuple[np.ndarray,
     return s[order], n[order]
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """The parity of the shingles at each of a power of two of places, from the set's size on and 64 at least."""
+    bits = 1 << max(6, (len(s) - 1).bit_length())
+    at = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(at.astype(np.uint8), bitorder="little").tobytes()
+
+
+def able(n: int, m: int, x: bytes, y: bytes, percent: int) -> bool:
+    """Whether sets of n and m shingles with these sketches may link: they differ in as many shingles as sketches do in bits, or more."""
+    p, q = int.from_bytes(x, "little"), int.from_bytes(y, "little")
+    size = min(len(x), len(y))
+    for k, v in enumerate((x, y)):
+        length = len(v)
+        while length > size:  # a place of the smaller sketch is that of two halves
+            length //= 2
+            if k:
+                q = (q >> 8 * length) ^ (q & ((1 << 8 * length) - 1))
+            else:
+                p = (p >> 8 * length) ^ (p & ((1 << 8 * length) - 1))
+    shared = (n + m - (p ^ q).bit_count()) // 2
+    return 100 * shared >= percent * (n + m - shared)
+
+
 def _prefixes(base: DataFrame, hot: np.ndarray, hot_n: np.ndarray, words: int, percent: int) -> DataFrame:
-    """doc_id, n, digest of the set, prefix (hashes, rarest first)."""
+    """doc_id, n, digest of the set, prefix (hashes, rarest first), sketch of the set."""
 
     def run(batches):
         for rows, data, off in text_chunks(batches, most=CHUNK):
-            n, digest, prefix = [], [], []
+            n, digest, prefix, parity = [], [], [], []
             sets = shingle_sets(data, off, words)
             flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
             key = flat >> KEY
@@ -186,10 +211,10 @@ def _prefixes(base: DataFrame, hot: np.ndarray, hot_n: np.ndarray, words: int, p
                 if len(cool) < k:
                     warm = np.flatnonzero(c)
                     cool = np.concatenate([cool, warm[np.lexsort((s[warm], c[warm]))][: k - len(cool)]])
-                n.append(len(s)), digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest()), prefix.append(s[cool].tobytes())
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(prefix, pa.binary())], ["doc_id", "n", "digest", "prefix"])
+                n.append(len(s)), digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest()), prefix.append(s[cool].tobytes()), parity.append(sketch(s))
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(n, pa.int64()), *[pa.array(x, pa.binary()) for x in (digest, prefix, parity)]], ["doc_id", "n", "digest", "prefix", "sketch"])
 
-    return base.mapInArrow(run, "doc_id long, n long, digest binary, prefix binary")
+    return base.mapInArrow(run, "doc_id long, n long, digest binary, prefix binary, sketch binary")
 
 
 def _postings(reps: DataFrame, hot: np.ndarray, hot_n: np.ndarray, buckets: int, long: bool) -> DataFrame:
@@ -278,6 +303,18 @@ def _pairs(percent: int):
     return run
 
 
+def _able(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs that may link by their sketches."""
+
+    def run(batches):
+        for b in batches:
+            keep = [able(*x, percent) for x in zip(*(b.column(c).to_pylist() for c in ("na", "nb", "sa", "sb")), strict=True)]
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    side = lambda c: reps.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that link, checked on whole sets."""
 
@@ -443,10 +480,13 @@ def _joined(docs: DataFrame, words: int, percent: int, every: bool) -> tuple[Dat
     prefixes = stored(_prefixes(base, hot, hot_n, words, percent), "none")
     small = stored(prefixes.select("doc_id", "n", "digest"))
     indexed = prefixes.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
-    reps = stored(indexed.groupBy("digest").agg(F.min(F.struct("doc_id", "n", "prefix")).alias("r")).select("r.*"), "none")
+    reps = stored(indexed.groupBy("digest").agg(F.min(F.struct("doc_id", "n", "prefix", "sketch")).alias("r")).select("r.*"), "none")
     discard(prefixes)
     release(spark)
-    pairs = stored(_postings(reps, hot, hot_n, buckets, False).groupBy("bucket").applyInPandas(_pairs(percent), "a long, b long").distinct())
+    met = stored(_postings(reps, hot, hot_n, buckets, False).groupBy("bucket").applyInPandas(_pairs(percent), "a long, b long").distinct())
+    release(spark)
+    pairs = stored(_able(met, reps, percent))
+    discard(met)
     release(spark)
     members = stored(_postings(reps, hot, hot_n, buckets, True))
     discard(reps)

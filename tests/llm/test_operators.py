@@ -500,3 +500,36 @@ def test_sets_are_compared_in_rounds_of_bounded_bytes(spark, monkeypatch):
     monkeypatch.setattr(J, "ROUND_LEAST", 100_000)
     assert sorted(map(tuple, J.links(table, 4, 85).collect())) == whole and whole
     assert len(sent) > 3 and max(sent) < 320
+
+
+def test_sketches_drop_no_pair_that_links():
+    rng = np.random.default_rng(5)
+    dropped = 0
+    for percent in (80, 85):
+        for _ in range(1500):
+            n, lost, added = rng.integers(1, 900), rng.integers(0, 200), rng.integers(0, 200)
+            a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+            b = np.unique(np.concatenate([a[min(lost, len(a) - 1) :], rng.integers(0, 1 << 63, added, dtype=np.uint64)]))
+            shared = len(np.intersect1d(a, b))
+            may = ngramjoin.able(len(a), len(b), ngramjoin.sketch(a), ngramjoin.sketch(b), percent)
+            assert may or 100 * shared < percent * (len(a) + len(b) - shared)
+            dropped += not may
+    assert dropped > 500
+
+
+def test_sets_of_pairs_that_share_a_passage_alone_are_not_sent(spark, monkeypatch):
+    """Each passage of twenty words is in two texts of sixty further words."""
+    rng, sent, sets = random.Random(2), [], ngramjoin._sets
+    word = lambda: f"w{rng.randrange(10**9)}"
+    passages = [" ".join(word() for _ in range(20)) for _ in range(60)]
+    rows = [(i, passages[i // 2] + " " + " ".join(word() for _ in range(60))) for i in range(120)]
+    rows += [(200, rows[0][1] + " one"), (201, rows[2][1] + " one")]
+
+    def counted(base, ids, words):
+        sent.append(ids.count())
+        return sets(base, ids, words)
+
+    monkeypatch.setattr(ngramjoin, "_sets", counted)
+    found = ngramjoin.links(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()
+    assert sorted(map(tuple, found)) == [(0, 200), (2, 201)]
+    assert sum(sent) <= 8
